@@ -121,15 +121,15 @@ def cap_positions(spark, sf):
 
 
 def incremental_new_keys(spark, sf):
-    """The first half of the games is in the dataset, the other half arrives."""
-    source = inputs.games(spark, sf).withColumn("_new", F.col("game_ord") % 2 == 1)
+    """Two of every five games are in the dataset already; then all of them arrive."""
+    source = inputs.games(spark, sf)
 
     def unique(df):
         return dedup.dedup_first_wins(positions.game_positions(replayed_games(annotated_games(
             games.filter_commented(games.decode_outcome(games.filter_min_elo(df)))))))
 
-    known = unique(source.where(~F.col("_new"))).select(*positions.POSITION_KEY)
-    fresh = stored(unique(source.where("_new")), "fresh")
+    known = unique(source.where(F.col("game_ord") % 5 < 2)).select(*positions.POSITION_KEY)
+    fresh = stored(unique(source), "fresh")
     return positions.with_fen(absent_positions(fresh, known)).select("fen", "file", "game_ord", "ply", "eval")
 
 
@@ -141,7 +141,7 @@ def write_dataset(spark, sf) -> str:
 
 
 def run_sizing(spark, sf):
-    records = inputs.boards(spark, sf).withColumnRenamed("set_type", "setType")
+    records = inputs.events(spark, sf).withColumnRenamed("set_type", "setType")
     return metrics.run_sizing(records, train_boards=1_000_000, batch_rows=BATCH)
 
 
@@ -201,7 +201,7 @@ def check_feature_width(spark, sf):
 
 
 def win_prob_label(spark, sf):
-    labelled = loader.with_label(inputs.boards(spark, sf))
+    labelled = loader.with_label(inputs.events(spark, sf))
     return labelled.select("event_id", F.round(F.col("label").cast("double"), 5).alias("label"))
 
 
@@ -251,7 +251,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "cap_positions": cap_positions,
     "stage_counts": stage_counts,
     "count_by_split": lambda s, d: metrics.count_by_split(
-        inputs.boards(s, d).withColumnRenamed("set_type", "setType")),
+        inputs.events(s, d).withColumnRenamed("set_type", "setType")),
     "run_sizing": run_sizing,
     "eval_metrics": eval_metrics,
     "step_rollup": step_rollup,

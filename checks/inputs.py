@@ -12,14 +12,18 @@ from checks.template_games import GAMES
 from plyforge.functions.boards import board_to_placement
 from plyforge.functions.hashing import uniform32
 from plyforge.operators.encode import encode_fen
+from plyforge.operators.once import evaluated_once
 from plyforge.schemas import TRAIN_SEED
 from plyforge.sources.paths import scratch
 
 FILE_ROWS = 512
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+def table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
+    """A given table. One that comes in fewer pieces than there are cores is spread, since deriving costs more."""
+    df = spark.read.parquet(f"{sf_dir}/{name}.parquet").select(*columns)
+    cores = spark.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
 
 
 def comment(k: Column, p: Column) -> Column:
@@ -40,7 +44,7 @@ def comment(k: Column, p: Column) -> Column:
 def games(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The games table; `game_id` is the order key."""
     k = F.col("o_orderkey")
-    moves = F.element_at(F.array(*[F.split(F.lit(g), " ") for g in GAMES]), (k % len(GAMES) + 1).cast("int"))
+    moves = F.split(F.element_at(F.array(*[F.lit(g) for g in GAMES]), (k % len(GAMES) + 1).cast("int")), " ")
 
     def half_move(san: Column, i: Column) -> Column:
         p = i + 1
@@ -53,9 +57,9 @@ def games(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(k % 5 == 0, "*").otherwise("1/2-1/2")
     )
     elo = F.when(k % 29 == 0, 0)
+    body = F.array_join(F.transform(moves, half_move), " ")
     return (
-        table(spark, sf_dir, "orders")
-        .withColumn("_result", result)
+        evaluated_once(table(spark, sf_dir, "orders", "o_orderkey", "o_custkey", "o_orderstatus"), {"_result": result, "_body": body})
         .select(
             k.cast("string").alias("game_id"),
             F.concat(F.lit("archive-"), (k % 4).cast("string")).alias("file"),
@@ -63,7 +67,7 @@ def games(spark: SparkSession, sf_dir: str) -> DataFrame:
             elo.otherwise((F.col("o_custkey") * 13 % 1000 + 1600).cast("int")).alias("white_elo"),
             elo.otherwise(((k * 7) % 1000 + 1500).cast("int")).alias("black_elo"),
             F.col("_result").alias("result"),
-            F.concat_ws(" ", F.array_join(F.transform(moves, half_move), " "), F.col("_result")).alias("movetext"),
+            F.concat_ws(" ", "_body", "_result").alias("movetext"),
         )
     )
 
@@ -118,29 +122,35 @@ def boards(spark: SparkSession, sf_dir: str, repeated: bool = False, faulty: boo
     """Positions with a FEN. `repeated` gives all events of one user and type the same board; `faulty` breaks some."""
     k = F.col("event_id")
     seed = F.concat_ws("-", "user_id", "event_type") if repeated else k.cast("string")
-    fen = hashed_fen(seed, F.col("user_id") if repeated else k)
-    if faulty:
-        fen = (
-            F.when(k % 37 == 0, F.regexp_replace(fen, "^[^/]*/", "")).when(k % 41 == 0, F.replace(
-                fen, F.lit(" w "), F.lit(" x "))).when(k % 43 == 0, F.concat(F.lit("Z"), fen)).otherwise(fen)
-        )
-    return (
-        table(spark, sf_dir, "events")
-        .select(
-            k, F.col("event_type").alias("file"), F.col("user_id").alias("game_ord"), k.cast("int").alias("ply"),
-            fen.alias("fen"), ((F.col("value") * 100).cast("int") - 5000).alias("eval"),
-            (k % 500 + 2000).cast("int").alias("min_elo"), (k % 3 - 1).cast("int").alias("white_outcome"),
-            F.when(uniform32(TRAIN_SEED, k) < 214748365, "test").otherwise("train").alias("set_type"),
-        )
+    positions = evaluated_once(events(spark, sf_dir), {"fen": hashed_fen(seed, F.col("user_id") if repeated else k)})
+    if not faulty:
+        return positions
+    fen = F.col("fen")
+    broken = (
+        F.when(k % 37 == 0, F.regexp_replace(fen, "^[^/]*/", ""))
+        .when(k % 41 == 0, F.replace(fen, F.lit(" w "), F.lit(" x ")))
+        .when(k % 43 == 0, F.concat(F.lit("Z"), fen)).otherwise(fen)
+    )
+    return evaluated_once(positions, {"fen": broken})
+
+
+def events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the boards carry besides the FEN."""
+    k = F.col("event_id")
+    return table(spark, sf_dir, "events", "event_id", "user_id", "event_type", "value").select(
+        k, F.col("event_type").alias("file"), F.col("user_id").alias("game_ord"), k.cast("int").alias("ply"),
+        "user_id", "event_type", ((F.col("value") * 100).cast("int") - 5000).alias("eval"),
+        (k % 500 + 2000).cast("int").alias("min_elo"), (k % 3 - 1).cast("int").alias("white_outcome"),
+        F.when(uniform32(TRAIN_SEED, k) < 214748365, "test").otherwise("train").alias("set_type"),
     )
 
 
 def rows(spark: SparkSession, sf_dir: str, features: bool = False) -> DataFrame:
     """Rows of data files: `file, row_index, eval`, and `features` on demand."""
     k = F.col("event_id")
-    source = boards(spark, sf_dir)
+    source = events(spark, sf_dir)
     if features:
-        source = encode_fen(source)
+        source = evaluated_once(encode_fen(boards(spark, sf_dir)).withColumnRenamed("features", "_f"), {"features": F.col("_f")})
     return source.select(
         F.concat(F.lit("part-"), F.lpad(F.floor(k / FILE_ROWS).cast("string"), 8, "0")).alias("file"),
         (k % FILE_ROWS).alias("row_index"), "eval", *(["features"] if features else []))
@@ -149,13 +159,13 @@ def rows(spark: SparkSession, sf_dir: str, features: bool = False) -> DataFrame:
 def predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """`row_id, logit, label`; the label is the win probability of the board's evaluation."""
     k = F.col("event_id")
-    return boards(spark, sf_dir).select(
+    return events(spark, sf_dir).select(
         k.alias("row_id"), ((k % 2001 - 1000) / F.lit(250.0)).alias("logit"),
         (1 / (1 + F.exp(-F.col("eval") / F.lit(400.0)))).alias("label"))
 
 
 def step_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """`step, loss, grad_norm, seconds`, one row per event."""
-    return table(spark, sf_dir, "events").select(
+    return table(spark, sf_dir, "events", "event_id", "value").select(
         F.col("event_id").alias("step"), F.col("value").alias("loss"), (F.col("value") / 50).alias("grad_norm"),
         ((F.col("event_id") % 7 + 1) / F.lit(100.0)).alias("seconds"))

@@ -312,7 +312,7 @@ ORACLE: dict[str, str] = {
         lambda t: {PIECE_VALUES}[cast(t as int) + 1])) as double) as logit from encoded)
       select event_id, logit, round(1 / (1 + exp(-logit)), 6) as probability from scored""",
     "incremental_new_keys": games(f"""select fen, file, game_ord, ply, eval from position p
-      where k % 2 = 1 and not exists (select 1 from position q where q.k % 2 = 0 and q.key = p.key)
+      where not exists (select 1 from position q where q.k % 5 < 2 and q.key = p.key)
       qualify {UNIQUE}"""),
     "build_dataset": f"""with {GAMES_SQL}, {MOVETEXT_SQL},
       found as (

@@ -1,12 +1,11 @@
 """Game-level steps: PGN records to games, the filters that need no moves, and the movetext split."""
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from plyforge.functions.evals import has_eval
 from plyforge.functions.hashing import uniform32
+from plyforge.operators.once import evaluated_once
 from plyforge.schemas import DEFAULT_MIN_ELO, SKIP_HALF_MOVES, TEST_FRACTION, TRAIN_SEED
 
 QUOTED = r'"([^"\\]*+(?:\\.[^"\\]*+)*+)"'
@@ -36,16 +35,15 @@ def games_from_pgn(records: DataFrame) -> DataFrame:
 
     The game id is a hash of the text: it stays the same whichever other archives are read with it.
     """
-    return (
-        records
-        .withColumn("_tags", F.regexp_extract("pgn", TAG_SECTION, 0))
-        .select(
-            F.md5("pgn").alias("game_id"), "file", "game_ord",
-            elo(tag(F.col("_tags"), "WhiteElo")).alias("white_elo"),
-            elo(tag(F.col("_tags"), "BlackElo")).alias("black_elo"),
-            tag(F.col("_tags"), "Result").alias("result"),
-            F.trim(F.substr("pgn", F.length("_tags") + 1), F.lit(" \t\r\n")).alias("movetext"),
-        )
+    tags = evaluated_once(records, {"_tags": F.regexp_extract("pgn", TAG_SECTION, 0)})
+    headed = evaluated_once(tags, {
+        "white_elo": elo(tag(F.col("_tags"), "WhiteElo")),
+        "black_elo": elo(tag(F.col("_tags"), "BlackElo")),
+        "result": tag(F.col("_tags"), "Result"),
+    })
+    return headed.select(
+        F.md5("pgn").alias("game_id"), "file", "game_ord", "white_elo", "black_elo", "result",
+        F.trim(F.substr("pgn", F.length("_tags") + 1), F.lit(" \t\r\n")).alias("movetext"),
     )
 
 
@@ -101,15 +99,11 @@ def parse_movetext(games: DataFrame) -> DataFrame:
     Replaces `movetext`. Comments before the first move belong to no half-move and are dropped.
     """
     first_move = F.regexp_replace(main_line(F.col("movetext")), rf"^(?:{BETWEEN})*+", "")
-    return (
-        games
-        .withColumn("_line", first_move)
-        .withColumns({
-            "moves": F.regexp_extract_all("_line", F.lit(HALF_MOVE), 1),
-            "comments": F.regexp_extract_all("_line", F.lit(HALF_MOVE), 2),
-        })
-        .drop("_line", "movetext")
-    )
+    line = evaluated_once(games, {"_line": first_move}).drop("movetext")
+    return evaluated_once(line, {
+        "moves": F.regexp_extract_all("_line", F.lit(HALF_MOVE), 1),
+        "comments": F.regexp_extract_all("_line", F.lit(HALF_MOVE), 2),
+    }).drop("_line")
 
 
 def filter_commented(games: DataFrame) -> DataFrame:
@@ -122,7 +116,3 @@ def filter_commented(games: DataFrame) -> DataFrame:
 def annotation_gate(games: DataFrame, skip: int = SKIP_HALF_MOVES) -> DataFrame:
     """The first half-move after the skipped opening must carry an evaluation, else the game goes."""
     return games.where(has_eval(F.try_element_at("comments", F.lit(skip + 1))))
-
-
-def apply_all(df: DataFrame, *steps) -> DataFrame:
-    return reduce(lambda d, step: d.transform(step), steps, df)
