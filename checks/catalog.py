@@ -159,8 +159,8 @@ def eval_metrics(spark, sf):
 
 def step_rollup(spark, sf):
     got = metrics.step_rollup(inputs.step_log(spark, sf), freq=128, batch_rows=BATCH, steps_per_epoch=157)
-    return got.select("step", "boards", *[F.round(c, 6).alias(c) for c in (
-        "epoch", "train_loss", "train_grad_norm", "train_grad_clipped", "boards_per_second")])
+    places = {"epoch": 6, "train_loss": 10, "train_grad_norm": 10, "train_grad_clipped": 8, "boards_per_second": 6}
+    return got.select("step", "boards", *[F.round(c, n).alias(c) for c, n in places.items()])
 
 
 def windows(spark, sf) -> DataFrame:

@@ -149,7 +149,7 @@ select event_id, features from encoded"""
 SIGN = "(case when string_split(fen, ' ')[2] = 'w' then 1 else -1 end)"
 RECORD = f"""fen, features, cast({SIGN} * eval as int) as eval, cast({SIGN} * white_outcome as int) as outcome,
   cast(min_elo as int) as "minElo", set_type as "setType\""""
-GOOD = r"(event_id % 37 <> 0 and (event_id % 41 <> 0 or event_id % 2 <> 0) and event_id % 43 <> 0)"
+GOOD = "(event_id % 37 <> 0 and case when event_id % 41 = 0 then event_id % 2 <> 0 else event_id % 43 <> 0 end)"
 
 
 def records(where="true", faulty=False, columns=None):
@@ -267,9 +267,9 @@ ORACLE: dict[str, str] = {
     "step_rollup": f"""with s as (select event_id as step, value as loss, value / 50 as grad_norm,
         (event_id % 7 + 1) / 100.0 as seconds, max(event_id) over () as last from events),
       g as (select least(cast(ceil(step / 128.0) * 128 as bigint), last) as ended_at, * from s)
-      select ended_at as step, ended_at * {BATCH} as boards, round(ended_at / 157.0, 6) as epoch, round(avg(loss), 6) as train_loss,
-        round(avg(grad_norm), 6) as train_grad_norm,
-        round(avg(cast(grad_norm > 1.0 as int)), 6) as train_grad_clipped,
+      select ended_at as step, ended_at * {BATCH} as boards, round(ended_at / 157.0, 6) as epoch, round(avg(loss), 10) as train_loss,
+        round(avg(grad_norm), 10) as train_grad_norm,
+        round(avg(cast(grad_norm > 1.0 as int)), 8) as train_grad_clipped,
         round(count(*) * {BATCH} / sum(seconds), 6) as boards_per_second
       from g group by ended_at""",
     "dataset_digest": f"""with {rows_cte()}, listing as (

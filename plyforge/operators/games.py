@@ -41,9 +41,10 @@ def games_from_pgn(records: DataFrame) -> DataFrame:
         "black_elo": elo(tag(F.col("_tags"), "BlackElo")),
         "result": tag(F.col("_tags"), "Result"),
     })
+    blank = F.lit(" \t\r\n")
     return headed.select(
-        F.md5("pgn").alias("game_id"), "file", "game_ord", "white_elo", "black_elo", "result",
-        F.trim(F.substr("pgn", F.length("_tags") + 1), F.lit(" \t\r\n")).alias("movetext"),
+        F.md5(F.trim("pgn", blank)).alias("game_id"), "file", "game_ord", "white_elo", "black_elo", "result",
+        F.trim(F.substr("pgn", F.length("_tags") + 1), blank).alias("movetext"),
     )
 
 
