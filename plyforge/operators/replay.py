@@ -29,6 +29,7 @@ SQUARE_TEXT = pa.array([f"{'abcdefgh'[s % 8]}{8 - s // 8}" for s in range(64)] +
 RIGHTS_LOST = np.zeros(65, np.uint8)
 RIGHTS_LOST[[60, 63, 56, 4, 7, 0]] = [3, 1, 2, 12, 4, 8]
 KEYS = np.random.default_rng(1).integers(1, 2**63, (128 + 16 + 65, 64), np.uint64)
+KEYS[EMPTY] = 0
 
 
 def _reach(steps, length):
@@ -178,8 +179,9 @@ def replay(moves, lengths, san):
     king = np.tile(np.array([4, 60]), (n, 1))
     failed = np.zeros(n, np.int32)
     history = np.zeros((n, longest + 1), np.uint64)
-    cells = np.arange(64)
-    history[:, 0] = np.bitwise_xor.reduce(KEYS[START[:64], cells]) ^ KEYS[128 + 15, 0]
+    placed_key = np.full(n, np.bitwise_xor.reduce(KEYS[START[:64], np.arange(64)]))
+    pieces = np.full(n, 32, np.int32)
+    history[:, 0] = placed_key ^ KEYS[128 + 15, 0]
     total = len(moves)
     out = {
         "board": np.zeros((total, 64), np.uint8), "castling": np.zeros(total, np.uint8),
@@ -221,11 +223,17 @@ def replay(moves, lengths, san):
         o, d = origin[g], target[g]
         promoted = promotion[g] if white else promotion[g] | 32
         b[g, o] = EMPTY
-        b[g, d] = np.where(promotion[g] != 0, promoted, piece[g])
+        landed = np.where(promotion[g] != 0, promoted, piece[g]).astype(np.uint8)
+        b[g, d] = landed
+        placed_key[g] ^= KEYS[piece[g], o] ^ KEYS[landed, d] ^ KEYS[captured[g], d]
         e = g[takes_ep[g]]
-        b[e, target[e] + (8 if white else -8)] = EMPTY
+        passed = target[e] + (8 if white else -8)
+        placed_key[e] ^= KEYS[b[e, passed], passed]
+        b[e, passed] = EMPTY
+        pieces[g] -= (captured[g] != EMPTY) | takes_ep[g]
         for side, corner, to in ((1, home + 3, home + 1), (2, home - 4, home - 1)):
             c = g[kind[g] == side]
+            placed_key[c] ^= KEYS[b[c, corner], to] ^ KEYS[b[c, corner], corner]
             b[c, to], b[c, corner] = b[c, corner], EMPTY
         moved_king = g[(piece[g] | 32) == ord("k")]
         king[moved_king, int(white)] = target[moved_king]
@@ -241,7 +249,7 @@ def replay(moves, lengths, san):
         for step, edge in ((-1, 0), (1, 7)):
             beside = np.where(double & (target % 8 != edge), target + step, OFF)
             ready |= b[rows, beside] == ord("p" if white else "P")
-        key = np.bitwise_xor.reduce(KEYS[b[:, :64], cells], axis=1) ^ KEYS[128 + rights[:m], 0]
+        key = placed_key[:m] ^ KEYS[128 + rights[:m], 0]
         key ^= np.where(ready, KEYS[144 + ep[:m], 0], 0) ^ (KEYS[208, 1] if white else np.uint64(0))
         history[:m, t + 1] = key
         out["board"][at] = b[:, :64]
@@ -249,7 +257,7 @@ def replay(moves, lengths, san):
         out["en_passant"][at] = ep[:m]
         out["halfmove_clock"][at] = clock[:m]
         out["repeats"][at] = (history[:m, :t + 2] == key[:, None]).sum(1)
-        out["piece_count"][at] = (b[:, :64] != EMPTY).sum(1)
+        out["piece_count"][at] = pieces[:m]
         # Only the last half-move can end the game by mate or stalemate: any other was followed by a legal one.
         last = np.flatnonzero((lengths[order[:m]] == t + 1) & (failed[:m] == 0))
         if len(last):

@@ -2,6 +2,7 @@
 
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import SparkSession
 
@@ -17,6 +18,11 @@ def exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(jpath)
 
 
+@cache
+def _local_folder(application: str) -> str:
+    return tempfile.mkdtemp(prefix=f"plyforge-{application}-")
+
+
 def scratch(spark: SparkSession, name: str) -> str:
     """A new folder name under `spark.checkpoint.dir`, where every executor can read it back.
 
@@ -26,8 +32,7 @@ def scratch(spark: SparkSession, name: str) -> str:
     if not base:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        base = tempfile.mkdtemp(prefix="plyforge-")
-        spark.conf.set("spark.checkpoint.dir", base)
+        base = _local_folder(spark.sparkContext.applicationId)
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
