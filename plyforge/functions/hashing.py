@@ -8,7 +8,8 @@ ORDER_BITS = 60
 
 def _hash_bits(seed, *ids: Column, digits: int) -> Column:
     text = F.concat_ws(":", F.lit(str(seed)), *[i.cast("string") for i in ids])
-    return F.conv(F.substring(F.md5(text), 1, digits), 16, 10).cast("bigint")
+    # Never null, and said so: else every join on it would compute it once more for a null check.
+    return F.coalesce(F.conv(F.substring(F.md5(text), 1, digits), 16, 10).cast("bigint"), F.lit(0))
 
 
 def uniform32(seed, *ids: Column) -> Column:

@@ -146,6 +146,12 @@ def with_label(rows: DataFrame) -> DataFrame:
     return rows.withColumn("label", win_probability(F.col("eval")).cast("float"))
 
 
+def pool_files(rows: DataFrame, pool_rows: int = EVAL_POOL_ROWS) -> DataFrame:
+    """Files that hold the first `pool_rows` rows in scan order, with the rows `before` each."""
+    before = F.sum("rows").over(Window.orderBy("file")) - F.col("rows")
+    return file_table(rows).select("file", before.alias("before")).where(F.col("before") < pool_rows)
+
+
 def eval_sample(
     rows: DataFrame, pool_rows: int = EVAL_POOL_ROWS, sample_rows: int = EVAL_SAMPLE_ROWS, seed: int = EVAL_SEED
 ) -> DataFrame:
@@ -154,13 +160,10 @@ def eval_sample(
     Whether a row is in the pool follows from its file's offset and its row index, without sorting rows. The
     sample size is bounded by design, so its top-k needs one small merge.
     """
-    files = file_table(rows)
-    before = F.sum("rows").over(Window.orderBy("file")) - F.col("rows")
-    pool_files = files.select("file", before.alias("_before")).where(F.col("_before") < pool_rows)
     return (
-        rows.join(pool_files, "file")
-        .where(F.col("_before") + F.col("row_index") < pool_rows)
-        .drop("_before")
+        rows.join(pool_files(rows, pool_rows), "file")
+        .where(F.col("before") + F.col("row_index") < pool_rows)
+        .drop("before")
         .withColumn("sample_order", order_hash(seed, F.col("file"), F.col("row_index")))
         .orderBy("sample_order", "file", "row_index")
         .limit(sample_rows)

@@ -19,7 +19,7 @@ def rank_by_hash(
     """
     sliced = (
         df.withColumn("_bits", bits.cast("int"))
-        .withColumn("_slice", F.expr(f"shiftright({order}, {ORDER_BITS} - _bits)"))
+        .withColumn("_slice", F.coalesce(F.expr(f"shiftright({order}, {ORDER_BITS} - _bits)"), F.lit(0)))
     )
     parts = [*groups, "_slice"]
     counts = sliced.groupBy(*parts).agg(F.count("*").alias("_n"))

@@ -318,3 +318,8 @@ def legal_games(replayed: DataFrame, mode: str = "failfast") -> DataFrame:
         checked = F.when(F.col("failed_ply") > 0, F.raise_error(message).cast("int")).otherwise(0)
         return replayed.withColumn("failed_ply", checked).where("failed_ply = 0").drop("failed_ply")
     return replayed.where("failed_ply = 0").drop("failed_ply")
+
+
+def illegal_games(replayed: DataFrame) -> DataFrame:
+    """The games that `dropmalformed` drops, with the half-move that failed."""
+    return replayed.where("failed_ply > 0").drop("plies")

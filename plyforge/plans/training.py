@@ -1,16 +1,21 @@
 """Dataset to training batches, and the evaluation sample."""
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from plyforge.operators.loader import (
     broadcast_if_small, check_feature_width, epoch_plan, eval_sample, file_table, fixed_batches, plan_windows,
-    window_shuffle, with_label,
+    pool_files, window_shuffle, with_label,
+)
+from plyforge.schemas import (
+    BATCH_ROWS, EVAL_POOL_ROWS, EVAL_SAMPLE_ROWS, EVAL_SEED, LOADER_SHARDS, TRAIN_SEED, WINDOW_ROWS,
 )
-from plyforge.schemas import BATCH_ROWS, EVAL_SEED, LOADER_SHARDS, TRAIN_SEED, WINDOW_ROWS
 from plyforge.sources.dataset import scan_rows
 from plyforge.sources.paths import stored
 from plyforge.sources.sinks import write_batches
 
+PRUNED_FILES = 1_000
+
 
 def training_batches(
     rows: DataFrame, epochs: int, batch_rows: int = BATCH_ROWS, window_rows: int = WINDOW_ROWS,
@@ -31,6 +36,17 @@ def export_training_batches(spark: SparkSession, dataset: str, output: str, epoc
     write_batches(training_batches(scan_rows(spark, dataset, "train"), epochs, **options), output)
 
 
-def load_eval_sample(spark: SparkSession, dataset: str, seed: int = EVAL_SEED, **options) -> DataFrame:
-    """The fixed evaluation sample with labels, ready for scoring."""
-    return with_label(eval_sample(scan_rows(spark, dataset, "test"), seed=seed, **options))
+def load_eval_sample(
+    spark: SparkSession, dataset: str, pool_rows: int = EVAL_POOL_ROWS, sample_rows: int = EVAL_SAMPLE_ROWS,
+    seed: int = EVAL_SEED,
+) -> DataFrame:
+    """The fixed evaluation sample with labels, ready for scoring.
+
+    The pool is the head of the test split. Its file names are looked up first (a count per file, no data
+    columns), so that only those files are read; with too many of them the join alone selects the rows.
+    """
+    rows = scan_rows(spark, dataset, "test")
+    names = [row["file"] for row in pool_files(rows, pool_rows).select("file").limit(PRUNED_FILES + 1).collect()]
+    if len(names) <= PRUNED_FILES:
+        rows = rows.where(F.col("file").isin(names))
+    return with_label(eval_sample(rows, pool_rows, sample_rows, seed))

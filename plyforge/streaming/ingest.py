@@ -44,14 +44,17 @@ class DatasetWriter:
         kept, found, done = f"{folder}/positions", f"{folder}/found", f"{folder}/done"
         read = self.spark.read.schema(positions.schema)
         if not exists(self.spark, done):
-            positions.write.mode("overwrite").parquet(found)
-            fresh = read.parquet(found)
             known = self._finished_groups()
-            if known:
-                fresh = absent_positions(fresh, read.parquet(*known))
-            if limit is not None:
-                fresh = cap_positions(fresh, limit)
-            fresh.write.mode("overwrite").parquet(kept)
+            if not known and limit is None:
+                positions.write.mode("overwrite").parquet(kept)
+            else:
+                positions.write.mode("overwrite").parquet(found)
+                fresh = read.parquet(found)
+                if known:
+                    fresh = absent_positions(fresh, read.parquet(*known))
+                if limit is not None:
+                    fresh = cap_positions(fresh, limit)
+                fresh.write.mode("overwrite").parquet(kept)
             self._take_back(f"{folder}/before")
             write_records(training_records(read.parquet(kept), self.debug_fen), self.output)
             self._touch(done)

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from plyforge.functions.evals import extract_eval, has_eval
 from plyforge.operators import games as G
 from plyforge.operators.positions import comment_evals, game_positions
-from plyforge.operators.replay import legal_games, replay_moves
+from plyforge.operators.replay import illegal_games, legal_games, replay_moves
 from plyforge.plans.dataset import positions_from_records
 
 
@@ -78,7 +78,7 @@ def test_missing_eval_skips_only_that_half_move(spark):
 
 def test_illegal_moves_fail_or_are_dropped(spark):
     bad = replay(spark, "e4 e5 Ke3")
-    assert bad.first()["failed_ply"] == 3
+    assert [(r["game_id"], r["failed_ply"]) for r in illegal_games(bad).collect()] == [("g", 3)]
     assert legal_games(bad, "dropmalformed").count() == 0
     with pytest.raises(Exception, match="illegal half-move 3 in game g"):
         legal_games(bad).collect()
