@@ -15,11 +15,13 @@ def dedup_first_wins(
 ) -> DataFrame:
     """One row per key: the first in `order`.
 
-    Spark cuts every map task's rows to one per key before the exchange, so a position that occurs in a
-    third of all games sends one row per task. The leading hash makes the sort compare longs, not boards.
+    A minimum of structs that start with `order`. It is taken in every map task before the exchange, so a
+    position that occurs in a third of all games sends one row per task. The leading hash makes the sorts
+    compare longs before boards.
     """
-    window = Window.partitionBy(F.xxhash64(*key), *key).orderBy(*order)
-    return positions.withColumn("_rank", F.row_number().over(window)).where("_rank = 1").drop("_rank")
+    rest = [c for c in positions.columns if c not in key and c not in order]
+    first = positions.groupBy(F.xxhash64(*key).alias("_hash"), *key).agg(F.min(F.struct(*order, *rest)).alias("_first"))
+    return first.select(*key, "_first.*").select(*positions.columns)
 
 
 def cap_positions(positions: DataFrame, limit: int) -> DataFrame:
