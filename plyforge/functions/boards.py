@@ -58,12 +58,13 @@ def board_to_placement(board: Column) -> Column:
 def valid_fen(fen: Column) -> Column:
     """Eight ranks of eight known pieces, and legal side, castling and en-passant fields."""
     ranks = expand_ranks(fen_field(fen, 1))
-    return (
-        F.coalesce(ranks.rlike(r"^([.PNBRQKpnbrqk]{8}/){7}[.PNBRQKpnbrqk]{8}$"), F.lit(False))
+    good = (
+        ranks.rlike(r"^([.PNBRQKpnbrqk]{8}/){7}[.PNBRQKpnbrqk]{8}$")
         & fen_field(fen, 2).isin("w", "b")
-        & fen_field(fen, 3).rlike(r"^(-|K?Q?k?q?)$") & (fen_field(fen, 3) != "")
+        & fen_field(fen, 3).rlike(r"^(-|(?=.)K?Q?k?q?)$")
         & fen_field(fen, 4).rlike(r"^(-|[a-h][36])$")
     )
+    return F.coalesce(good, F.lit(False))
 
 
 def piece_tokens(board: Column, white: Column) -> Column:

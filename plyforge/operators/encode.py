@@ -4,7 +4,7 @@ Each step is its own projection because the next one reads it several times: Cat
 apart and every string is built once per row, inside one generated stage.
 """
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from plyforge.functions import boards
@@ -45,9 +45,16 @@ def encode_fen(positions: DataFrame, features: str = "features") -> DataFrame:
     return encode_boards(parse_fen(positions), features).drop(*BOARD_COLUMNS)
 
 
-def training_records(positions: DataFrame, debug_fen: bool = False) -> DataFrame:
-    """Positions to rows of the training dataset, under its on-disk names."""
+def training_records(
+    positions: DataFrame, debug_fen: bool = False, observation: Observation | None = None
+) -> DataFrame:
+    """Positions to rows of the training dataset, under its on-disk names.
+
+    Positions that only have a FEN are dropped if it cannot be encoded; `observation` counts them as `rejected`.
+    """
     if "board" not in positions.columns:
+        if observation is not None:
+            positions = positions.observe(observation, F.count_if(~boards.valid_fen(F.col("fen"))).alias("rejected"))
         source = parse_fen(encodable(positions))
     else:
         source = with_fen(positions) if debug_fen else positions

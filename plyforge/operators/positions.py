@@ -105,4 +105,4 @@ def encodable(positions: DataFrame) -> DataFrame:
 
 def encode_rejects(positions: DataFrame) -> DataFrame:
     """Positions whose FEN cannot be encoded; `encodable` is the rest."""
-    return positions.where(~F.coalesce(boards.valid_fen(F.col("fen")), F.lit(False)))
+    return positions.where(~boards.valid_fen(F.col("fen")))

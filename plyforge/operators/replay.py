@@ -28,6 +28,9 @@ CASTLING_TEXT = pa.array(["".join(c for i, c in enumerate("KQkq") if m >> i & 1)
 SQUARE_TEXT = pa.array([f"{'abcdefgh'[s % 8]}{8 - s // 8}" for s in range(64)] + ["-"])
 RIGHTS_LOST = np.zeros(65, np.uint8)
 RIGHTS_LOST[[60, 63, 56, 4, 7, 0]] = [3, 1, 2, 12, 4, 8]
+# Positions kept to count repetitions. Only the moves since the last capture or pawn move can repeat a position,
+# and a hundred of those end the game.
+REMEMBERED = 128
 KEYS = np.random.default_rng(1).integers(1, 2**63, (128 + 16 + 65, 64), np.uint64)
 KEYS[EMPTY] = 0
 
@@ -178,7 +181,7 @@ def replay(moves, lengths, san):
     rights, clock = np.full(n, 15, np.uint8), np.zeros(n, np.int32)
     king = np.tile(np.array([4, 60]), (n, 1))
     failed = np.zeros(n, np.int32)
-    history = np.zeros((n, longest + 1), np.uint64)
+    history = np.zeros((n, REMEMBERED), np.uint64)
     placed_key = np.full(n, np.bitwise_xor.reduce(KEYS[START[:64], np.arange(64)]))
     pieces = np.full(n, 32, np.int32)
     history[:, 0] = placed_key ^ KEYS[128 + 15, 0]
@@ -193,6 +196,8 @@ def replay(moves, lengths, san):
     for t in range(longest):
         white = t % 2 == 0
         m = int(np.searchsorted(-lengths[order], -t, "left"))
+        if (failed[:m] > 0).all():
+            break
         at = starts[:m] + t
         move, rows, b = san[moves[at]], np.arange(m), board[:m]
         kind, target, promotion = move[:, 0].copy(), move[:, 4].copy(), move[:, 5]
@@ -251,12 +256,12 @@ def replay(moves, lengths, san):
             ready |= b[rows, beside] == ord("p" if white else "P")
         key = placed_key[:m] ^ KEYS[128 + rights[:m], 0]
         key ^= np.where(ready, KEYS[144 + ep[:m], 0], 0) ^ (KEYS[208, 1] if white else np.uint64(0))
-        history[:m, t + 1] = key
+        history[:m, (t + 1) % REMEMBERED] = key
         out["board"][at] = b[:, :64]
         out["castling"][at] = rights[:m]
         out["en_passant"][at] = ep[:m]
         out["halfmove_clock"][at] = clock[:m]
-        out["repeats"][at] = (history[:m, :t + 2] == key[:, None]).sum(1)
+        out["repeats"][at] = (history[:m, :min(t + 2, REMEMBERED)] == key[:, None]).sum(1)
         out["piece_count"][at] = pieces[:m]
         # Only the last half-move can end the game by mate or stalemate: any other was followed by a legal one.
         last = np.flatnonzero((lengths[order[:m]] == t + 1) & (failed[:m] == 0))

@@ -1,6 +1,7 @@
 """Hand-checked encodings, and the mirror property."""
 
 import pytest
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from plyforge.functions import boards as B
@@ -98,4 +99,6 @@ def test_records_from_the_mover_s_side(spark):
         "*", "2100 as min_elo", "'train' as set_type")
     got = {r["fen"]: (r["eval"], r["outcome"], r["minElo"], r["setType"]) for r in training_records(df, True).collect()}
     assert got == {rows[0][0]: (30, 1, 2100, "train"), rows[1][0]: (-30, -1, 2100, "train")}
-    assert [r["fen"] for r in training_records(df).collect()] == [None, None]
+    rejects = Observation()
+    assert [r["fen"] for r in training_records(df, observation=rejects).collect()] == [None, None]
+    assert rejects.get["rejected"] == 1

@@ -110,3 +110,12 @@ def test_pin_decides_between_two_knights():
     game = "e4 e6 d4 d5 Nc3 Bb4 Ne2".split()
     out, failed = run([game])
     assert failed[0] == 0 and fens(out, [game])[0][-1][0].startswith("rnbqk1nr/ppp2ppp/4p3/3p4/1b1PP3/2N5/PPP1NPPP/R1BQKB1R")
+
+
+def test_a_long_unreadable_game_ends_early_and_long_shuffles_are_counted():
+    shuffle = ("Nf3 Nf6 Ng1 Ng8 " * 40).split()
+    garbage = ["e4"] + ["??"] * 50_000
+    out, failed = run([shuffle, garbage])
+    assert failed.tolist() == [0, 2]
+    repeats, clocks = out["repeats"][:160], out["halfmove_clock"][:160]
+    assert np.flatnonzero(repeats >= 3)[0] == 7 and clocks[99] == 100
