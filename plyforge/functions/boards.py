@@ -12,6 +12,9 @@ from pyspark.sql import functions as F
 from plyforge.schemas import SQUARES
 
 EMPTY_RUNS = [(str(n), "." * n) for n in range(8, 0, -1)]
+RUN_COUNTS = [
+    ("....", "4"), ("...", "3"), ("..", "2"), (".", "1"), ("44", "8"), ("43", "7"), ("42", "6"), ("41", "5"),
+]
 
 # One letter per token, 'a' = token 0 ... 'p' = token 15.
 #   0 empty, 1 en-passant pawn, 2/3 pawn, 4/5 knight, 6/7 bishop, 8/9 rook, 10/11 castling rook,
@@ -51,8 +54,10 @@ def fen_to_board(fen: Column) -> Column:
 
 
 def board_to_placement(board: Column) -> Column:
-    ranks = F.concat_ws("/", *[F.substring(board, 8 * r + 1, 8) for r in range(8)])
-    return reduce(lambda text, run: F.replace(text, F.lit(run[1]), F.lit(run[0])), EMPTY_RUNS, ranks)
+    """Placement text. Empty runs are first counted in fours, threes, twos and ones, then joined."""
+    ranks = [F.substring(board, 8 * r + 1, 8) for r in range(8)]
+    separated = F.concat(ranks[0], *[part for rank in ranks[1:] for part in (F.lit("/"), rank)])
+    return reduce(lambda text, run: F.replace(text, F.lit(run[0]), F.lit(run[1])), RUN_COUNTS, separated)
 
 
 def valid_fen(fen: Column) -> Column:

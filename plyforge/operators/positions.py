@@ -26,14 +26,13 @@ def terminal(ply: Column) -> Column:
 
 
 def first_stop(plies: Column, stop: Callable[[Column], Column]) -> Column:
-    """1-based index of the first element for which `stop` holds, 0 without one."""
-    return F.array_position(F.transform(plies, stop), True)
+    """1-based index of the first element for which `stop` holds, null without one."""
+    return F.nullif(F.array_position(F.transform(plies, stop), True), F.lit(0))
 
 
 def prefix_until(df: DataFrame, column: str, stop: Callable[[Column], Column]) -> DataFrame:
     """Cuts an array column before its first element for which `stop` holds. No shuffle."""
-    at = first_stop(F.col(column), stop)
-    length = F.when(at == 0, F.size(column)).otherwise((at - 1).cast("int"))
+    length = F.coalesce((first_stop(F.col(column), stop) - 1).cast("int"), F.size(column))
     return df.withColumn(column, F.slice(column, F.lit(1), length))
 
 
@@ -70,8 +69,7 @@ def game_positions(games: DataFrame, skip: int = SKIP_HALF_MOVES, min_pieces: in
 
     The stop is looked for in the array, once per game; the rows are cut after the explode, in generated code.
     """
-    stop = F.nullif(
-        first_stop(F.col("plies"), lambda p: too_few_pieces(p, min_pieces) | terminal(p)), F.lit(0))
+    stop = first_stop(F.col("plies"), lambda p: too_few_pieces(p, min_pieces) | terminal(p))
     rows = explode_plies(games.withColumn("_stop", stop))
     return (
         rows
