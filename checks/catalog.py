@@ -224,11 +224,11 @@ def built_dataset(spark, sf):
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "games_from_pgn": lambda s, d: games.games_from_pgn(inputs.pgn_records(s, d)),
-    "filter_min_elo": lambda s, d: games.filter_min_elo(inputs.games(s, d)).select("game_id", "min_elo"),
-    "decode_outcome": lambda s, d: games.decode_outcome(inputs.games(s, d)).select("game_id", "white_outcome"),
+    "filter_min_elo": lambda s, d: games.filter_min_elo(inputs.tagged_games(s, d)).select("game_id", "min_elo"),
+    "decode_outcome": lambda s, d: games.decode_outcome(inputs.tagged_games(s, d)).select("game_id", "white_outcome"),
     "filter_commented": lambda s, d: games.filter_commented(parsed(s, d)).select("game_id", F.size("moves").alias("n")),
     "annotation_gate": lambda s, d: games.annotation_gate(parsed(s, d)).select("game_id"),
-    "split_by_game": lambda s, d: games.split_by_game(inputs.games(s, d)).select("game_id", "set_type"),
+    "split_by_game": lambda s, d: games.split_by_game(inputs.tagged_games(s, d)).select("game_id", "set_type"),
     "replay_positions": replay_positions,
     "extract_eval": extract_evals,
     "stop_min_pieces": lambda s, d: kept_plies(positions.stop_min_pieces(replayed(s, d))),

@@ -41,9 +41,27 @@ def comment(k: Column, p: Column) -> Column:
     )
 
 
-def games(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The games table; `game_id` is the order key."""
+def tagged_games(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the tags of the games say; `game_id` is the order key."""
     k = F.col("o_orderkey")
+    result = (
+        F.when(F.col("o_orderstatus") == "F", "1-0").when(F.col("o_orderstatus") == "O", "0-1")
+        .when(k % 5 == 0, "*").otherwise("1/2-1/2")
+    )
+    elo = F.when(k % 29 == 0, 0)
+    return table(spark, sf_dir, "orders", "o_orderkey", "o_custkey", "o_orderstatus").select(
+        k.cast("string").alias("game_id"),
+        F.concat(F.lit("archive-"), (k % 4).cast("string")).alias("file"),
+        k.alias("game_ord"),
+        elo.otherwise((F.col("o_custkey") * 13 % 1000 + 1600).cast("int")).alias("white_elo"),
+        elo.otherwise(((k * 7) % 1000 + 1500).cast("int")).alias("black_elo"),
+        result.alias("result"),
+    )
+
+
+def games(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The games table."""
+    k = F.col("game_ord")
     moves = F.split(F.element_at(F.array(*[F.lit(g) for g in GAMES]), (k % len(GAMES) + 1).cast("int")), " ")
 
     def half_move(san: Column, i: Column) -> Column:
@@ -52,24 +70,8 @@ def games(spark: SparkSession, sf_dir: str) -> DataFrame:
         text = F.concat(number, san)
         return F.when(k % 11 == 0, text).otherwise(F.concat_ws(" ", text, comment(k, p)))
 
-    result = (
-        F.when(F.col("o_orderstatus") == "F", "1-0").when(F.col("o_orderstatus") == "O", "0-1")
-        .when(k % 5 == 0, "*").otherwise("1/2-1/2")
-    )
-    elo = F.when(k % 29 == 0, 0)
-    body = F.array_join(F.transform(moves, half_move), " ")
-    return (
-        evaluated_once(table(spark, sf_dir, "orders", "o_orderkey", "o_custkey", "o_orderstatus"), {"_result": result, "_body": body})
-        .select(
-            k.cast("string").alias("game_id"),
-            F.concat(F.lit("archive-"), (k % 4).cast("string")).alias("file"),
-            k.alias("game_ord"),
-            elo.otherwise((F.col("o_custkey") * 13 % 1000 + 1600).cast("int")).alias("white_elo"),
-            elo.otherwise(((k * 7) % 1000 + 1500).cast("int")).alias("black_elo"),
-            F.col("_result").alias("result"),
-            F.concat_ws(" ", "_body", "_result").alias("movetext"),
-        )
-    )
+    movetext = F.concat_ws(" ", F.array_join(F.transform(moves, half_move), " "), "result")
+    return evaluated_once(tagged_games(spark, sf_dir), {"movetext": movetext})
 
 
 def pgn_records(spark: SparkSession, sf_dir: str) -> DataFrame:

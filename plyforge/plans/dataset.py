@@ -55,7 +55,8 @@ def positions_from_records(
 
 
 def unique_positions(records: DataFrame, **options) -> DataFrame:
-    return dedup_first_wins(positions_from_records(records, **options))
+    """First occurrences only. The game id has served the split and would only widen the shuffle."""
+    return dedup_first_wins(positions_from_records(records, **options).drop("game_id"))
 
 
 def build_dataset(
