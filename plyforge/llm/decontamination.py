@@ -74,7 +74,7 @@ def grams(hashes: np.ndarray, size: int = GRAM) -> np.ndarray:
 
 def _hash_lists(values: list[str]) -> list[np.ndarray]:
     out: list[np.ndarray] = []
-    for group in words(pa.array(values, pa.string()), breaks_at_symbols()):
+    for group in words(pa.array(values, pa.string()), breaks_at_symbols(), lower=True):
         edges = np.searchsorted(group.text, np.arange(group.first, group.last + 1))
         out += [group.hash[a:b] for a, b in zip(edges[:-1], edges[1:], strict=True)]
     return out
@@ -199,7 +199,7 @@ def leaks(column: pa.Array, index: Index) -> list[tuple[int, int, float, float,
     Overlap is the share of the item's word trigrams (all its words, if fewer) that stand in the passage or within a passage's half on either side.
     """
     found: dict[tuple[int, int], tuple[float, float, float]] = {}
-    for group in words(column, breaks_at_symbols()):
+    for group in words(column, breaks_at_symbols(), lower=True):
         text = group.text - group.first
         sizes = np.bincount(text, minlength=group.last - group.first)
         starts = np.cumsum(sizes) - sizes

@@ -118,9 +118,12 @@ def _cuts(data: np.ndarray, start: int, end: int, breaks: np.ndarray) -> Iterato
     yield start, end
 
 
-def words(column: pa.Array, breaks: np.ndarray, head: int = 0) -> Iterator[Words]:
-    """Word hashes of a column of texts, a group of texts at a time; every text is in exactly one group."""
-    at, data = buffers(column)
+def words(column: pa.Array, breaks: np.ndarray, head: int = 0, lower: bool = False) -> Iterator[Words]:
+    """Word hashes of a column of texts, a group of texts at a time; every text is in exactly one group.
+
+    A-Z always count as a-z; with `lower`, so do the capitals of other scripts.
+    """
+    at, data = buffers(pc.utf8_lower(column) if lower else column)
     first, count = 0, len(column)
     while first < count:
         last = max(int(np.searchsorted(at, at[first] + SEGMENT, "right")) - 1, first + 1)
@@ -138,4 +141,4 @@ def words(column: pa.Array, breaks: np.ndarray, head: int = 0) -> Iterator[Words
 
 def word_hashes(text: str, breaks: np.ndarray, head: int = 0) -> Words:
     """The words of one text."""
-    return next(iter(words(pa.array([text], pa.string()), breaks, head)))
+    return next(iter(words(pa.array([text], pa.string()), breaks, head, lower=True)))
