@@ -5,7 +5,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plyforge.llm import decontamination, line_dedup, packing, pii, sharding, toxicity
+from plyforge.llm import decontamination, line_dedup, ngram_join, packing, pii, sharding, toxicity, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -35,6 +35,14 @@ def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "source", "text", "lines_total", "lines_dropped")
 
 
+def op7_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.similar_documents(table(spark, sf_dir, "documents"))
+
+
+def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip(table(spark, sf_dir, "pages"))
+
+
 def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.contaminated_pairs(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -48,7 +56,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_pii": op2_pii,
     "op4_sharding": op4_sharding,
     "op6_line_dedup": op6_line_dedup,
+    "op7_ngram_join": op7_ngram_join,
+    "op8_warc": op8_warc,
     "op9_decontamination": op9_decontamination,
     "op10_packing": op10_packing,
 }
-ORACLE = {"op6_line_dedup": line_dedup.line_sql()}
+ORACLE = {"op6_line_dedup": line_dedup.line_sql(), "op8_warc": warc.WARC_SQL}
