@@ -5,7 +5,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plyforge.llm import decontamination, line_dedup, ngram_join, packing, pii, sharding, toxicity, warc
+from plyforge.llm import decontamination, line_dedup, metric_search, ngram_join, packing, pii, sharding, toxicity, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -30,6 +30,11 @@ def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_documents(table(spark, sf_dir, "documents"))
 
 
+def op5_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings")
+    return metric_search.top_k(rows, rows.where("vec_id % 50 = 0"))
+
+
 def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.drop_boilerplate(table(spark, sf_dir, "documents")).select(
         "doc_id", "source", "text", "lines_total", "lines_dropped")
@@ -55,10 +60,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
     "op2_pii": op2_pii,
     "op4_sharding": op4_sharding,
+    "op5_topk": op5_topk,
     "op6_line_dedup": op6_line_dedup,
     "op7_ngram_join": op7_ngram_join,
     "op8_warc": op8_warc,
     "op9_decontamination": op9_decontamination,
     "op10_packing": op10_packing,
 }
-ORACLE = {"op6_line_dedup": line_dedup.line_sql(), "op8_warc": warc.WARC_SQL}
+ORACLE = {"op5_topk": metric_search.search_sql(), "op6_line_dedup": line_dedup.line_sql(), "op8_warc": warc.WARC_SQL}
