@@ -18,7 +18,7 @@ WINDOW = 1024
 END_ID = 0
 ROWS_PER_PACKER = 50_000
 STRETCH = 1_000_000
-CACHED_CHARS = 16_000_000
+CACHED_CHARS = 32_000_000
 
 PIECES = "doc_id {id}, start long, length long, ids_crc32 long, doc_tokens long"
 PACKED = PIECES + ", sequence_id long, offset long"
@@ -26,57 +26,92 @@ PACKED = PIECES + ", sequence_id long, offset long"
 #: A blank inside a run of white space, at which a text must not be cut; control characters that two libraries class
 #: differently; and the text of the special token.
 _WHOLE = re.compile(r"\s (?:\s|\Z)|[\x1c-\x1f]|<\|endoftext\|>")
+#: Words without white space whose letters every Unicode table classes alike.
+_PLAIN = re.compile(r"[!-~\xa1-\u024f]+").fullmatch
+#: How the vocabulary splits a text into pieces. A fixed value.
+_PIECES = r"'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+
+
+def _byte_signs() -> dict[str, int]:
+    """The byte that each sign of a byte-level vocabulary stands for: printable Latin-1 signs for themselves, others moved up."""
+    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    moved = [b for b in range(256) if b not in plain]
+    return {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(moved)}
 
 
 class Lexicon(dict):
     """Token ids of words by number, encoded once and in batches.
 
-    A key is a word after a blank, or (text,) for a text as it stands. Cutting before a single blank never changes the ids,
-    because this vocabulary's words begin with their blank.
+    A key is a word after a blank, (text,) for a text as it stands, or (text, "whole") for one with runs of white space or the
+    special token. Cutting before a single blank never changes the ids, because this vocabulary's words begin with their blank.
+    Plain words of Latin letters are encoded many at a time as one line with the same merges by tiktoken, which is about
+    eight times as fast as one call of tokenizers for each; everything else goes to tokenizers.
     """
 
     def __init__(self, path: str):
+        import tiktoken
         from tokenizers import Tokenizer
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.tokenizer = Tokenizer.from_file(path)
+        signs, special = _byte_signs(), self.tokenizer.get_added_tokens_decoder()
+        ranks = {bytes(signs[c] for c in k): v for k, v in self.tokenizer.get_vocab().items() if v not in special}
+        self.lines = tiktoken.Encoding("lines", pat_str=_PIECES, mergeable_ranks=ranks, special_tokens={})
+        self.bytes_of = np.zeros(max(ranks.values()) + 1, np.int64)
+        self.bytes_of[list(ranks.values())] = [len(k) for k in ranks]
         self.reset()
 
     def reset(self) -> None:
         self.clear()
-        self.waiting: list[str] = []
+        self.words: list[str] = []
+        self.word_numbers: list[int] = []
+        self.others: list[str] = []
+        self.other_numbers: list[int] = []
         self.chars = 0
         self.flat, self.used = np.zeros(1 << 16, np.uint32), 1
-        self.starts, self.sizes, self.count = np.zeros(1 << 16, np.int64), np.zeros(1 << 16, np.int64), 1
+        self.starts, self.sizes = np.zeros(1 << 16, np.int64), np.zeros(1 << 16, np.int64)
         self.flat[0], self.sizes[0] = END_ID, 1
         self[("", "end")] = 0
 
     def __missing__(self, key) -> int:
-        text = key[0] if isinstance(key, tuple) else " " + key
-        self.waiting.append(text)
-        self.chars += len(text) + 64
         self[key] = number = len(self)
+        if isinstance(key, str) and _PLAIN(key):
+            self.words.append(" " + key)
+            self.word_numbers.append(number)
+            self.chars += len(key) + 64
+        else:
+            text = key[0] if isinstance(key, tuple) else " " + key
+            self.others.append(text)
+            self.other_numbers.append(number)
+            self.chars += len(text) + 64
         return number
 
+    def _keep(self, numbers: list[int], ids: np.ndarray, sizes: np.ndarray) -> None:
+        while self.used + len(ids) > len(self.flat):
+            self.flat = np.concatenate([self.flat, np.zeros_like(self.flat)])
+        while len(self) > len(self.sizes):
+            self.sizes, self.starts = (np.concatenate([x, np.zeros_like(x)]) for x in (self.sizes, self.starts))
+        self.flat[self.used:self.used + len(ids)] = ids
+        self.sizes[numbers], self.starts[numbers] = sizes, self.used + np.cumsum(sizes) - sizes
+        self.used += len(ids)
+
     def _encode(self) -> None:
-        for k in range(0, len(self.waiting), 4096):
-            got = [e.ids for e in self.tokenizer.encode_batch_fast(self.waiting[k:k + 4096], add_special_tokens=False)]
-            sizes = np.fromiter(map(len, got), np.int64, len(got))
-            ids = np.concatenate([np.asarray(x, np.uint32) for x in got])
-            while self.used + len(ids) > len(self.flat):
-                self.flat = np.concatenate([self.flat, np.zeros_like(self.flat)])
-            while self.count + len(got) > len(self.sizes):
-                self.sizes, self.starts = (np.concatenate([x, np.zeros_like(x)]) for x in (self.sizes, self.starts))
-            here = slice(self.count, self.count + len(got))
-            self.flat[self.used:self.used + len(ids)] = ids
-            self.sizes[here], self.starts[here] = sizes, self.used + np.cumsum(sizes) - sizes
-            self.used, self.count = self.used + len(ids), self.count + len(got)
-        self.waiting.clear()
+        if self.words:
+            ids = np.array(self.lines.encode_ordinary("".join(self.words)), np.int64)
+            # No token reaches over a blank, so words end where the tokens' bytes add up.
+            ends = np.searchsorted(np.cumsum(self.bytes_of[ids]), np.cumsum([len(w.encode()) for w in self.words])) + 1
+            self._keep(self.word_numbers, ids, np.diff(ends, prepend=0))
+        for k in range(0, len(self.others), 4096):
+            got = [e.ids for e in self.tokenizer.encode_batch_fast(self.others[k:k + 4096], add_special_tokens=False)]
+            self._keep(self.other_numbers[k:k + 4096], np.concatenate([np.asarray(x, np.uint32) for x in got]),
+                       np.fromiter(map(len, got), np.int64, len(got)))
+        for waiting in (self.words, self.word_numbers, self.others, self.other_numbers):
+            waiting.clear()
 
     def ids(self, keys: list) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the keys one after another, and the number of each key's ids."""
         number = np.fromiter(map(self.__getitem__, keys), np.int64, len(keys))
-        if self.waiting:
+        if self.words or self.others:
             self._encode()
         sizes = self.sizes[number]
         ends = np.cumsum(sizes)
@@ -102,7 +137,7 @@ def stretches(text: str) -> Iterator[str]:
 
 def _keys(part: str) -> list:
     if _WHOLE.search(part):
-        return [(part,)]
+        return [(part, "whole")]
     first, *rest = part.split(" ")
     return [(first,), *rest]
 
