@@ -32,21 +32,21 @@ def drop_boilerplate(docs: DataFrame, host: str = "source", ratio: float = RATIO
     """Every row, with boilerplate lines taken out of `text`; adds lines_total and lines_dropped.
 
     A null text stays null and has no lines, a null host is a host of its own (the empty one), blank lines stay, and a page of
-    boilerplate alone keeps its row with what is left. Other columns pass unchanged; columns that start with an underscore
-    are this operator's own.
+    boilerplate alone keeps its row with what is left. Other columns pass unchanged, whatever their names, but for columns
+    named lines_total or lines_dropped, which are replaced.
     """
-    site = F.coalesce(F.col(host).cast("string"), F.lit(""))
+    # The row travels as one value, so that no name of its columns can clash.
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col("text").cast("string").alias("text"),
+                       F.coalesce(F.col(host).cast("string"), F.lit("")).alias("_host"))
     # The page side is split if a host is large; it is not shuffled at all while the other side is small.
-    joined = docs.withColumn("_host", site).join(boilerplate(docs, host, ratio, least_pages), "_host", "left")
-    lines = F.split(F.col("text"), "\n")
-    kept = F.when(F.col("_boilerplate").isNull(), lines).otherwise(
-        F.filter(lines, lambda x: ~F.array_contains(F.col("_boilerplate"), _line_key(x)) | (F.trim(x) == "")))
-    joined = joined.withColumn("_lines", F.size(lines)).withColumn("_kept", kept)
-    left = F.coalesce(F.size("_kept"), F.lit(0))
-    total = F.when(F.col("text").isNull(), 0).otherwise(F.col("_lines"))
-    return joined.select(
-        *[F.array_join("_kept", "\n").alias(c) if c == "text" else F.col(f"`{c}`") for c in docs.columns],
-        total.alias("lines_total"), F.when(F.col("text").isNull(), 0).otherwise(F.col("_lines") - left).alias("lines_dropped"))
+    joined = rows.join(boilerplate(docs, host, ratio, least_pages), "_host", "left").withColumn("lines", F.split("text", "\n"))
+    kept = F.when(F.col("_boilerplate").isNull(), F.col("lines")).otherwise(
+        F.filter("lines", lambda x: ~F.array_contains(F.col("_boilerplate"), _line_key(x)) | (F.trim(x) == "")))
+    joined = joined.withColumn("kept", kept)
+    sizes = [F.when(F.col("text").isNull(), 0).otherwise(F.size("lines") - k) for k in (F.lit(0), F.size("kept"))]
+    names = [c for c in docs.columns if c not in ("lines_total", "lines_dropped")]
+    return joined.select(*[F.array_join("kept", "\n").alias(c) if c == "text" else F.col("row")[c].alias(c) for c in names],
+                         sizes[0].alias("lines_total"), sizes[1].alias("lines_dropped"))
 
 
 def line_sql(ratio: float = RATIO, least_pages: int = LEAST_PAGES) -> str:

@@ -271,9 +271,11 @@ def one_of_each(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) ->
 
     Rows without words stay. Of repeated rows with the kept id and the same text one stays.
     """
-    kept = similar_documents(docs, size, percent).where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id", "n_shingles")
-    kept = kept.groupBy("doc_id").agg(F.max("n_shingles").alias("_most"))
-    found = docs.join(kept.withColumnRenamed("doc_id", "_kept"), F.col("doc_id").eqNullSafe(F.col("_kept")))
-    rank = F.row_number().over(Window.partitionBy("doc_id", F.xxhash64("text")).orderBy(F.lit(1)))
-    return found.withColumn("_rank", rank).where((F.col("_rank") == 1) | (F.col("_most") == 0)).select(
-        *[F.col(f"`{c}`") for c in docs.columns])
+    kept = similar_documents(docs, size, percent).where(F.col("doc_id").eqNullSafe(F.col("component_id")))
+    kept = kept.groupBy(F.col("doc_id").alias("kept")).agg(F.max("n_shingles").alias("most"))
+    # The row travels as one value, so that no name of its columns can clash.
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col("doc_id").alias("id"),
+                       F.xxhash64(F.col("text").cast("string")).alias("print"))
+    found = rows.join(kept, F.col("id").eqNullSafe(F.col("kept")))
+    rank = F.row_number().over(Window.partitionBy("id", "print").orderBy(F.lit(1)))
+    return found.withColumn("rank", rank).where((F.col("rank") == 1) | (F.col("most") == 0)).select("row.*")

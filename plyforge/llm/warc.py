@@ -50,8 +50,8 @@ def base32_sha1(data: Column) -> Column:
 
 
 def surt(url: str | None) -> str:
-    """Reversed-host key of a URL: no scheme, user, default port or fragment; the path and query as they are."""
-    text = (url or "").strip()
+    """Reversed-host key of a URL: no scheme, user, default port or fragment; path and query as they are, runs of white space as a blank."""
+    text = " ".join((url or "").split())
     try:
         parts = urlsplit(text)
         host, port = parts.hostname or "", parts.port
