@@ -169,7 +169,7 @@ def windows(spark, sf) -> DataFrame:
 
 
 def window_shuffle(spark, sf):
-    return loader.window_shuffle(inputs.rows(spark, sf), loader.broadcast_if_small(windows(spark, sf)))
+    return loader.window_shuffle(inputs.rows(spark, sf), windows(spark, sf))
 
 
 def fixed_batches(spark, sf):

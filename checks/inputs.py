@@ -20,14 +20,13 @@ FILE_ROWS = 512
 
 
 def table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
-    """A given table. One that comes in fewer pieces than there are cores is spread, since deriving costs more."""
+    """A given table, spread over the cores, since deriving costs more than reading."""
     df = spark.read.parquet(f"{sf_dir}/{name}.parquet").select(*columns)
-    cores = spark.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    return df.repartition(spark.sparkContext.defaultParallelism)
 
 
 def comment(k: Column, p: Column) -> Column:
-    """Comment of half-move `p`: an evaluation in pawns, a mate distance, or only a clock."""
+    """Comment of half-move `p`: an evaluation in pawns, now and then far too large, a mate distance, or only a clock."""
     cp = (k * 31 + p * 17) % 1999 - 999
     size = F.abs(cp)
     pawns = F.concat(
@@ -37,6 +36,7 @@ def comment(k: Column, p: Column) -> Column:
     return (
         F.when((k + p * 3) % 13 == 0, "{ [%clk 0:03:00] }")
         .when((k + p) % 23 == 0, F.concat(F.lit("{ [%eval "), mate, F.lit("] }")))
+        .when((k + p) % 101 == 0, F.concat(F.lit("{ [%eval "), F.when(k % 2 == 1, "-").otherwise(""), F.lit("99999999.00] }")))
         .otherwise(F.concat(F.lit("{ [%eval "), pawns, F.lit("] }")))
     )
 

@@ -22,7 +22,7 @@ def split(*ids):
 
 def eval_of(comment):
     pawns, mate = (f"regexp_extract({comment}, '{EVAL}', {i})" for i in (1, 2))
-    return f"""case when {pawns} <> '' then cast(trunc(cast({pawns} as double) * 100) as int)
+    return f"""case when {pawns} <> '' then cast(greatest(least(trunc(cast({pawns} as double) * 100), 2147483647), -2147483648) as int)
         when {mate} like '-%' then -10000 when {mate} <> '' then 10000 end"""
 
 
@@ -42,6 +42,7 @@ half_move as (
     case when (k + ply * 3) % 13 = 0 then '{{ [%clk 0:03:00] }}'
       when (k + ply) % 23 = 0
         then '{{ [%eval ' || (case when k % 2 = 1 then '#-' else '#' end) || (ply % 5 + 1) || '] }}'
+      when (k + ply) % 101 = 0 then '{{ [%eval ' || (case when k % 2 = 1 then '-' else '' end) || '99999999.00] }}'
       else '{{ [%eval ' || (case when (k * 31 + ply * 17) % 1999 - 999 < 0 then '-' else '' end)
         || (abs((k * 31 + ply * 17) % 1999 - 999) // 100) || '.'
         || lpad(cast(abs((k * 31 + ply * 17) % 1999 - 999) % 100 as varchar), 2, '0') || '] }}' end as comment
@@ -147,7 +148,8 @@ select event_id, features from encoded"""
 
 
 SIGN = "(case when string_split(fen, ' ')[2] = 'w' then 1 else -1 end)"
-RECORD = f"""fen, features, cast({SIGN} * eval as int) as eval, cast({SIGN} * white_outcome as int) as outcome,
+OPPOSITE = f"cast(case when eval = -2147483648 then eval else {SIGN} * eval end as int)"
+RECORD = f"""fen, features, {OPPOSITE} as eval, cast({SIGN} * white_outcome as int) as outcome,
   cast(min_elo as int) as "minElo", set_type as "setType\""""
 GOOD = "(event_id % 37 <> 0 and case when event_id % 41 = 0 then event_id % 2 <> 0 else event_id % 43 <> 0 end)"
 

@@ -40,10 +40,6 @@ def white_to_move(fen: Column) -> Column:
     return fen_field(fen, 2) == "w"
 
 
-def mover_sign(fen: Column) -> Column:
-    return F.when(white_to_move(fen), F.lit(1)).otherwise(F.lit(-1))
-
-
 def expand_ranks(placement: Column) -> Column:
     """Placement with digits written out as dots; the rank separators stay."""
     return reduce(lambda text, run: F.replace(text, F.lit(run[0]), F.lit(run[1])), EMPTY_RUNS, placement)

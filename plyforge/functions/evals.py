@@ -9,6 +9,9 @@ from plyforge.schemas import LOGISTIC_SCALING, MATE_CENTIPAWNS
 EVAL_PATTERN = r"\[%eval (?:([+-]?\d+\.\d+)|#([+-]?\d+))\]"
 
 
+LEAST_INT, MOST_INT = -2.0**31, 2.0**31 - 1
+
+
 def has_eval(comment: Column) -> Column:
     return F.coalesce(comment.rlike(EVAL_PATTERN), F.lit(False))
 
@@ -16,12 +19,13 @@ def has_eval(comment: Column) -> Column:
 def extract_eval(comment: Column) -> Column:
     """First evaluation in the comment, in centipawns; null without one.
 
-    The product is a double and the cast cuts toward zero, so "0.29" is 28.
+    The product is a double and the cast cuts toward zero, so "0.29" is 28. A score beyond the range of an integer is
+    the nearest end of the range.
     """
     pawns = F.regexp_extract(comment, EVAL_PATTERN, 1)
     mate = F.regexp_extract(comment, EVAL_PATTERN, 2)
     return (
-        F.when(pawns != "", (pawns.cast("double") * 100).cast("int"))
+        F.when(pawns != "", F.least(F.greatest(pawns.cast("double") * 100, F.lit(LEAST_INT)), F.lit(MOST_INT)).cast("int"))
         .when(mate.startswith("-"), F.lit(-MATE_CENTIPAWNS))
         .when(mate != "", F.lit(MATE_CENTIPAWNS))
     )

@@ -16,14 +16,6 @@ from plyforge.schemas import (
     BATCH_ROWS, EVAL_POOL_ROWS, EVAL_SAMPLE_ROWS, EVAL_SEED, LOADER_SHARDS, SQUARES, TRAIN_SEED, WINDOW_ROWS,
 )
 
-BROADCAST_ROWS = 1_000_000
-FILE_SLICE_BITS = 6
-
-
-def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Broadcast hint for a stored table of at most `max_rows` narrow rows; beyond it the join shuffles."""
-    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
-
 
 def file_table(rows: DataFrame) -> DataFrame:
     """Rows per data file."""
@@ -32,9 +24,10 @@ def file_table(rows: DataFrame) -> DataFrame:
 
 def file_order(files: DataFrame, seed: int = TRAIN_SEED) -> DataFrame:
     """Adds `ord`, the 0-based place of each file in the seeded shuffle."""
-    drawn = files.withColumn("_order", order_hash(seed, F.col("file")))
-    ranked = rank_by_hash(drawn, [], "_order", ["file"], F.lit(FILE_SLICE_BITS), "ord")
-    return ranked.withColumn("ord", F.col("ord") - 1).drop("_order")
+    total = files.agg(F.count("*")).scalar()
+    drawn = files.withColumns({"_order": order_hash(seed, F.col("file")), "_total": total})
+    ranked = rank_by_hash(drawn, [], "_order", ["file"], slice_bits(F.col("_total")), "ord")
+    return ranked.withColumn("ord", F.col("ord") - 1).drop("_order", "_total")
 
 
 def epoch_plan(
@@ -109,6 +102,25 @@ def fixed_batches(shuffled: DataFrame, batch_rows: int = BATCH_ROWS) -> DataFram
     )
 
 
+def first_batches(
+    batches: DataFrame, windows: DataFrame, iterations: int, batch_rows: int = BATCH_ROWS
+) -> DataFrame:
+    """The first `iterations` batches in delivery order: the shards take turns, and one that is done is passed over.
+
+    A batch's place follows from its number within its shard and the totals of all shards; nothing is sorted.
+    """
+    per_window = windows.select("shard", "window_index", "window_size").distinct().withColumn(
+        "full", F.floor(F.col("window_size") / batch_rows))
+    earlier = Window.partitionBy("shard").orderBy("window_index").rowsBetween(Window.unboundedPreceding, -1)
+    starts = per_window.select("shard", "window_index", F.coalesce(F.sum("full").over(earlier), F.lit(0)).alias("_start"))
+    totals = {r["shard"]: r["n"] for r in per_window.groupBy("shard").agg(F.sum("full").alias("n")).collect()}
+    number = F.col("_start") + F.col("batch_index")
+    place = F.lit(0)
+    for shard, total in sorted(totals.items()):
+        place = place + F.least(F.lit(total), number + (F.lit(shard) < F.col("shard")).cast("int"))
+    return batches.join(starts, ["shard", "window_index"]).where(place < iterations).drop("_start")
+
+
 def batch_shortfall(windows: DataFrame, iterations: int, batch_rows: int = BATCH_ROWS) -> DataFrame:
     """One row: batches the plan delivers, batches the run wants, and how many are missing."""
     per_window = windows.select("shard", "window_index", "window_size").distinct()

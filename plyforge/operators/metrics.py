@@ -9,8 +9,6 @@ from pyspark.sql import functions as F
 
 from plyforge.functions.evals import has_eval, sigmoid, sigmoid_cross_entropy
 from plyforge.functions.hashing import order_hash
-from plyforge.operators.loader import batch_of
-from plyforge.operators.ranking import rank_by_hash, slice_bits
 from plyforge.schemas import (
     BATCH_ROWS, CLIP_GRAD_NORM, DEFAULT_MIN_ELO, EVAL_EVERY_BOARDS, EVAL_SEED, LOSING_BELOW, SKIP_HALF_MOVES,
     WINNING_ABOVE,
@@ -54,19 +52,17 @@ def game_stage_counts(games: DataFrame, min_elo: int = DEFAULT_MIN_ELO) -> DataF
     )
 
 
-def predictions(rows: DataFrame) -> DataFrame:
-    return rows.withColumn("prediction", sigmoid(F.col("logit")))
-
-
 def eval_metrics(scored: DataFrame, batch_rows: int = BATCH_ROWS, seed: int = EVAL_SEED) -> DataFrame:
     """Loss and winning / losing share over the full batches of a scored sample (`row_id, logit, label`).
 
     All batches have one size, so the mean of their means is the mean over their rows.
     """
-    total = scored.agg(F.count("*")).scalar()
-    drawn = scored.withColumns({"_order": order_hash(seed, F.col("row_id")), "_total": total})
-    ranked = rank_by_hash(drawn, [], "_order", ["row_id"], slice_bits(F.col("_total")))
-    kept = ranked.where(batch_of(F.col("rn"), batch_rows) < F.floor(F.col("_total") / batch_rows))
+    # Fewer rows than one batch are left over: the last ones in hash order, taken by a top-k of that size.
+    drawn = scored.withColumn("_order", order_hash(seed, F.col("row_id")))
+    left = drawn.count() % batch_rows
+    over = drawn.select(F.col("_order").alias("_last"), F.col("row_id").alias("_id")).orderBy(F.desc("_last"), F.desc("_id")).limit(left)
+    kept = drawn.join(F.broadcast(over), (F.col("_order") == F.col("_last")) & (F.col("row_id") == F.col("_id")), "left_anti") \
+        if left else drawn
     prediction = sigmoid(F.col("logit"))
     return kept.agg(
         F.avg(sigmoid_cross_entropy(F.col("logit"), F.col("label"))).alias("loss"),

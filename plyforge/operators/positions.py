@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from plyforge.functions import boards
-from plyforge.functions.evals import extract_eval
+from plyforge.functions.evals import LEAST_INT, extract_eval
 from plyforge.schemas import MIN_PIECES, SKIP_HALF_MOVES
 
 POSITION_KEY = ["board", "white_to_move", "castling", "en_passant"]
@@ -89,10 +89,10 @@ def with_fen(positions: DataFrame) -> DataFrame:
 
 
 def to_mover_pov(positions: DataFrame) -> DataFrame:
-    """`eval` and `outcome` as seen by the side to move."""
+    """`eval` and `outcome` as seen by the side to move. The least integer has no opposite and stays as it is."""
     white = F.col("white_to_move") if "white_to_move" in positions.columns else boards.white_to_move(F.col("fen"))
     return positions.withColumns({
-        "eval": F.when(white, F.col("eval")).otherwise(-F.col("eval")),
+        "eval": F.when(white | (F.col("eval") == LEAST_INT), F.col("eval")).otherwise(-F.col("eval")),
         "outcome": F.when(white, F.col("white_outcome")).otherwise(-F.col("white_outcome")),
     })
 

@@ -6,6 +6,7 @@ import time
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from plyforge.functions.evals import has_eval
 from plyforge.operators.dedup import dedup_first_wins
 from plyforge.operators.games import (
     annotation_gate, decode_outcome, filter_commented, filter_min_elo, games_from_pgn, parse_movetext,
@@ -22,9 +23,13 @@ log = logging.getLogger(__name__)
 
 
 def qualifying_games(records: DataFrame, min_elo: int = DEFAULT_MIN_ELO) -> DataFrame:
-    """What tags and a look for comments can decide; cheap enough for the task that decompresses."""
-    games = games_from_pgn(records)
-    return filter_commented(decode_outcome(filter_min_elo(games, min_elo)))
+    """What tags and a look for an evaluation can decide; cheap enough for the task that decompresses.
+
+    Clock comments are on almost every move and evaluations in few games, so most games end here. A game that
+    passes the gate has an evaluation somewhere, whatever its movetext looks like.
+    """
+    games = filter_commented(decode_outcome(filter_min_elo(games_from_pgn(records), min_elo)))
+    return games.where(has_eval(F.col("movetext")))
 
 
 def annotated_games(games: DataFrame, skip: int = SKIP_HALF_MOVES) -> DataFrame:
@@ -79,7 +84,8 @@ def build_dataset(
         observed = Observation()
         positions = unique_positions(
             scan_archives(spark, batch, pattern), min_elo=min_elo, mode=mode, observation=observed)
-        total += writer.append(f"build-{group}", positions, None if limit is None else limit - total)
+        names = [path.rsplit("/", 1)[-1] for path in batch]
+        total += writer.append(f"build-{group}", positions, None if limit is None else limit - total, names)
         used, group = used + len(batch), group + 1
         seconds = time.monotonic() - started
         done = "" if limit is None else f" ({total * 100 // limit}%)"

@@ -8,9 +8,7 @@ DEFAULT_MIN_ELO = 2_000
 SKIP_HALF_MOVES = 10
 MIN_PIECES = 7
 TEST_FRACTION = 0.05
-PROGRESS_INTERVAL = 10_000
 SQUARES = 64
-VOCABULARY = 16
 LOGISTIC_SCALING = 400.0
 EVAL_SAMPLE_ROWS = 1 << 16
 EVAL_POOL_ROWS = 1 << 22
@@ -25,16 +23,6 @@ WINNING_ABOVE = 0.8
 LOSING_BELOW = 0.2
 ARCHIVE_GLOB = "*.pgn.zst"
 
-GAMES = T.StructType([
-    T.StructField("game_id", T.StringType(), False),
-    T.StructField("file", T.StringType(), False),
-    T.StructField("game_ord", T.LongType(), False),
-    T.StructField("white_elo", T.IntegerType(), False),
-    T.StructField("black_elo", T.IntegerType(), False),
-    T.StructField("result", T.StringType(), True),
-    T.StructField("movetext", T.StringType(), True),
-])
-
 # What a replayed half-move carries. `board` is 64 characters, a8 first, '.' for an empty square.
 PLY = T.StructType([
     T.StructField("ply", T.IntegerType(), False),

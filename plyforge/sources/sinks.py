@@ -24,10 +24,11 @@ def write_records(records: DataFrame, path: str) -> None:
     records.write.mode("append").partitionBy("setType").parquet(path)
 
 
-def write_batches(batches: DataFrame, path: str) -> None:
-    """Training batches by shard and window, in delivery order within each file."""
+def write_batches(batches: DataFrame, path: str, batches_per_file: int = 64) -> None:
+    """Training batches by shard and window, in delivery order within each file; a batch is never in two files."""
     (
-        batches.sortWithinPartitions("shard", "window_index", "rn")
+        batches.repartition("shard", "window_index", F.floor(F.col("batch_index") / batches_per_file))
+        .sortWithinPartitions("shard", "window_index", "rn")
         .write.partitionBy("shard", "window_index").parquet(path)
     )
 

@@ -1,5 +1,7 @@
 """Adding archives to a dataset: positions that it already holds are not added again."""
 
+import json
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -11,83 +13,102 @@ from plyforge.sources.archives import FIRST_TAG, pgn_records
 from plyforge.sources.paths import exists, file_system
 from plyforge.sources.sinks import write_records
 
-SMALL_BATCH_KEYS = 1_000_000
-
 
 def absent_positions(candidates: DataFrame, known: DataFrame) -> DataFrame:
     """Candidates (stored, unique) whose key is not `known`.
 
-    The known keys grow without bound and the candidates need not: when those are few enough to broadcast, the
-    history is only scanned against them. Otherwise both sides meet in a shuffle.
+    The known keys grow without bound and the candidates need not. The history is first reduced to the keys of the
+    candidates; Spark broadcasts these if their stored size allows it, and then the history is only scanned.
     """
-    if candidates.limit(SMALL_BATCH_KEYS + 1).count() <= SMALL_BATCH_KEYS:
-        few = F.broadcast(candidates.select(*POSITION_KEY))
-        known = known.join(few, POSITION_KEY, "left_semi")
-    return new_keys(candidates, known)
+    return new_keys(candidates, known.join(candidates.select(*POSITION_KEY), POSITION_KEY, "left_semi"))
 
 
 class DatasetWriter:
     """Appends groups of unique positions to a dataset, each exactly once; one writer at a time.
 
-    `<output>/_ingest/group=NAME` keeps the group's new positions: other groups are checked against their keys,
-    and a repeated group starts from the same rows. A list of the data files that were there before the append
-    lets a repeat take back what a broken attempt has added.
+    `<output>/_ingest/group=NAME` keeps the group's new positions: other groups are checked against their keys, and
+    a repeated group starts from the same rows. A group's data files are written there too and then moved into
+    the dataset under names of the group, which a manifest lists first; a repeat finishes the moves. Nothing ever lists the
+    files of the whole dataset. `archives` notes the archives of a finished group.
     """
 
     def __init__(self, spark: SparkSession, output: str, debug_fen: bool = False):
-        self.spark, self.output, self.debug_fen = spark, output, debug_fen
-        self.state = f"{output.rstrip('/')}/_ingest"
+        self.spark, self.output, self.debug_fen = spark, output.rstrip("/"), debug_fen
+        self.state = f"{self.output}/_ingest"
 
-    def append(self, group: str, positions: DataFrame, limit: int | None = None) -> int:
+    def append(self, group: str, positions: DataFrame, limit: int | None = None, archives: list[str] | None = None) -> int:
         """Adds the positions that are new, at most `limit`; returns how many."""
         folder = f"{self.state}/group={group}"
         kept, found, done = f"{folder}/positions", f"{folder}/found", f"{folder}/done"
+        data, manifest = f"{folder}/data", f"{folder}/manifest.json"
         read = self.spark.read.schema(positions.schema)
         if not exists(self.spark, done):
-            known = self._finished_groups()
-            if not known and limit is None:
-                positions.write.mode("overwrite").parquet(kept)
-            else:
-                positions.write.mode("overwrite").parquet(found)
-                fresh = read.parquet(found)
-                if known:
-                    fresh = absent_positions(fresh, read.parquet(*known))
-                if limit is not None:
-                    fresh = cap_positions(fresh, limit)
-                fresh.write.mode("overwrite").parquet(kept)
-            self._take_back(f"{folder}/before")
-            write_records(training_records(read.parquet(kept), self.debug_fen), self.output)
-            self._touch(done)
+            if not exists(self.spark, manifest):
+                known = self._finished_groups()
+                if not known and limit is None:
+                    positions.write.mode("overwrite").parquet(kept)
+                else:
+                    positions.write.mode("overwrite").parquet(found)
+                    fresh = read.parquet(found)
+                    if known:
+                        fresh = absent_positions(fresh, read.parquet(*known))
+                    if limit is not None:
+                        fresh = cap_positions(fresh, limit)
+                    fresh.write.mode("overwrite").parquet(kept)
+                self._delete(data)
+                write_records(training_records(read.parquet(kept), self.debug_fen), data)
+                self._write_text(manifest, json.dumps(self._planned_moves(data, group)))
+            for source, target in json.loads(self._read_text(manifest)):
+                self._move(source, target)
+            self._write_text(f"{folder}/archives.json", json.dumps(archives or []))
+            self._write_text(done, "")
             self._delete(found)
+            self._delete(data)
         return read.parquet(kept).count()
 
+    def read_archives(self) -> list[str]:
+        """Names of the archives of finished groups; a folder of archives is short."""
+        fs, pattern = file_system(self.spark, f"{self.state}/group=*/archives.json")
+        return sorted({name for s in fs.globStatus(pattern) or [] for name in json.loads(self._read_text(s.getPath().toString()))})
+
     def _finished_groups(self) -> list[str]:
         fs, pattern = file_system(self.spark, f"{self.state}/group=*/done")
         return [f"{status.getPath().getParent().toString()}/positions" for status in fs.globStatus(pattern) or []]
 
-    def _data_files(self) -> list[str]:
-        fs, root = file_system(self.spark, f"{self.output}/setType=*/*.parquet")
-        return [status.getPath().toString() for status in fs.globStatus(root) or []]
-
-    def _take_back(self, note: str) -> None:
-        """Notes the data files present, or, if an earlier attempt left its note, deletes what it added."""
-        fs, path = file_system(self.spark, note)
-        if fs.exists(path):
-            before = {row[0] for row in self.spark.read.text(note).toLocalIterator()}
-            for name in self._data_files():
-                if name not in before:
-                    self._delete(name)
-        else:
-            lines = [(name,) for name in self._data_files()]
-            self.spark.createDataFrame(lines, "value string").write.text(note)
+    def _planned_moves(self, data: str, group: str) -> list[tuple[str, str]]:
+        fs, pattern = file_system(self.spark, f"{data}/setType=*/*.parquet")
+        paths = sorted(status.getPath().toString() for status in fs.globStatus(pattern) or [])
+        return [(p, f"{self.output}/{p.split('/')[-2]}/{group}-{i:06d}.parquet") for i, p in enumerate(paths)]
 
-    def _delete(self, path: str) -> None:
+    def _move(self, source: str, target: str) -> None:
+        fs, there = file_system(self.spark, source)
+        if fs.exists(there):
+            _, goal = file_system(self.spark, target)
+            fs.mkdirs(goal.getParent())
+            if not fs.rename(there, goal):
+                raise OSError(f"cannot move {source} to {target}")
+
+    def _read_text(self, path: str) -> str:
         fs, jpath = file_system(self.spark, path)
-        fs.delete(jpath, True)
+        stream = fs.open(jpath)
+        try:
+            return bytes(stream.readAllBytes()).decode()
+        finally:
+            stream.close()
+
+    def _write_text(self, path: str, text: str) -> None:
+        """Written aside and renamed, so that the file is there whole or not at all."""
+        fs, aside = file_system(self.spark, f"{path}.part")
+        stream = fs.create(aside, True)
+        stream.write(bytearray(text.encode()))
+        stream.close()
+        _, jpath = file_system(self.spark, path)
+        fs.delete(jpath, False)
+        fs.rename(aside, jpath)
 
-    def _touch(self, path: str) -> None:
+    def _delete(self, path: str) -> None:
         fs, jpath = file_system(self.spark, path)
-        fs.create(jpath, True).close()
+        fs.delete(jpath, True)
 
 
 def ingest_new_archives(
@@ -96,13 +117,15 @@ def ingest_new_archives(
 ):
     """Streams archives that arrived since the last run into the dataset, then stops.
 
-    The file source remembers what it has read; every micro-batch goes through the batch job. Returns the query.
+    The file source remembers what it has read, and archives that a build has read are left out by name; every micro-batch goes
+    through the batch job. Returns the query.
     """
     from plyforge.plans.dataset import unique_positions
 
     writer = DatasetWriter(spark, output, debug_fen)
     text = (
         spark.readStream.format("text").option("lineSep", FIRST_TAG).option("pathGlobFilter", pattern).load(archives)
+        .where(~F.col("_metadata.file_name").isin(writer.read_archives()))
         .select("value", "_metadata.file_path")
     )
 

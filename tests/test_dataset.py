@@ -1,7 +1,9 @@
 """Archives on disk to a dataset on disk, whole and in steps."""
 
 import hashlib
+import json
 import os
+import shutil
 
 import pytest
 import zstandard
@@ -9,9 +11,11 @@ from pyspark.sql import functions as F
 
 from plyforge.operators.dedup import cap_positions, dedup_first_wins
 from plyforge.operators.metrics import count_by_split, dataset_digest
-from plyforge.plans.dataset import build_dataset, unique_positions
+from plyforge.functions.evals import extract_eval
+from plyforge.operators.positions import to_mover_pov
+from plyforge.plans.dataset import build_dataset, qualifying_games, unique_positions
 from plyforge.sources import dataset
-from plyforge.sources.archives import list_archives, read_games, scan_archives
+from plyforge.sources.archives import list_archives, pgn_records, read_games, scan_archives
 from plyforge.sources.sinks import append_metrics, require_empty
 from plyforge.streaming import ingest
 from tests.brute_chess import Position
@@ -178,12 +182,41 @@ def test_incremental_ingest(spark, games, tmp_path):
         assert sorted(got) == sorted(expected([("x", done)]))
 
 
-def test_large_batches_meet_the_history_in_a_shuffle(spark, folder, monkeypatch):
+def test_known_positions_are_absent(spark, folder):
     found = unique_positions(scan_archives(spark, folder)).cache()
     known = found.where("file = 'a.pgn.zst'")
-    small = ingest.absent_positions(found, known).count()
-    monkeypatch.setattr(ingest, "SMALL_BATCH_KEYS", 3)
-    assert ingest.absent_positions(found, known).count() == small == found.where("file <> 'a.pgn.zst'").count()
+    assert ingest.absent_positions(found, known).count() == found.where("file <> 'a.pgn.zst'").count()
+
+
+def test_ingest_after_a_build_reads_only_new_archives(spark, folder, games, tmp_path, monkeypatch):
+    inbox, out = tmp_path / "in", str(tmp_path / "out")
+    shutil.copytree(folder, inbox)
+    built = build_dataset(spark, str(inbox), out, debug_fen=True)["unique_positions"]
+    write_archive(inbox / "d.pgn.zst", [pgn(random_game(random.Random(99), 40))])
+    read = []
+    monkeypatch.setattr(ingest, "pgn_records", lambda batch, path: read.append(
+        {r[0].rsplit("/", 1)[-1] for r in batch.select("file_path").distinct().collect()}) or pgn_records(batch, path))
+    query = ingest.ingest_new_archives(spark, str(inbox), out, debug_fen=True)
+    query.awaitTermination()
+    assert query.exception() is None and set().union(*read) == {"d.pgn.zst"}
+    assert dataset.scan_records(spark, out).count() > built
+
+
+def test_clock_only_games_do_not_reach_the_exchange(spark):
+    def text(comment):
+        return '[Event "x"]\n[WhiteElo "2300"]\n[BlackElo "2300"]\n[Result "1-0"]\n\n1. e4 { [%clk 0:01:00] } e5 { ' + comment + " } 1-0"
+
+    rows = [("f", i, text("[%eval 0.3]" if i % 10 == 0 else "[%clk 0:00:59]")) for i in range(50)]
+    records = spark.createDataFrame(rows, "file string, game_ord long, pgn string")
+    assert qualifying_games(records).count() == 5
+
+
+def test_scores_beyond_an_integer(spark):
+    rows = [("[%eval 99999999.00]", True), ("[%eval -99999999.00]", True), ("[%eval -99999999.00]", False), ("[%eval 0.29]", False)]
+    got = spark.createDataFrame(rows, "c string, white_to_move boolean").withColumns(
+        {"eval": extract_eval(F.col("c")), "white_outcome": F.lit(1)})
+    assert [r["eval"] for r in got.collect()] == [2**31 - 1, -2**31, -2**31, 28]
+    assert [r["eval"] for r in to_mover_pov(got).collect()] == [2**31 - 1, -2**31, -2**31, -28]
 
 
 def test_a_repeated_group_adds_nothing_and_a_broken_one_is_taken_back(spark, folder, tmp_path):
@@ -196,6 +229,11 @@ def test_a_repeated_group_adds_nothing_and_a_broken_one_is_taken_back(spark, fol
     writer.append("2", second)
     total = dataset.scan_records(spark, out).count()
     os.remove(f"{out}/_ingest/group=2/done")  # as if the job died right after its append
+    moved = f"{out}/setType=train/2-000000.parquet"
+    if os.path.exists(moved):  # or in the middle of it
+        source = next(s for s, t in json.load(open(f"{out}/_ingest/group=2/manifest.json")) if t.endswith("train/2-000000.parquet"))
+        os.makedirs(os.path.dirname(source.removeprefix("file:")), exist_ok=True)
+        os.rename(moved, source.removeprefix("file:"))
     writer.append("2", second)
     assert dataset.scan_records(spark, out).count() == total
 
