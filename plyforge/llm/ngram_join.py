@@ -15,7 +15,6 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -28,6 +27,8 @@ SHINGLE, PERCENT = 3, 90
 #: Hashes below a sixth of their range are ordered by count; a similar pair needs a tenth of a set.
 CUT = (1 << 64) // 6
 BLOCK = 512
+HEAD = 32
+PROBES = 8
 MU = 0.01
 
 
@@ -88,19 +89,24 @@ def _set_rows(docs: DataFrame, size: int, percent: int) -> DataFrame:
     return texts.mapInArrow(rows, f"doc_id {kind}, n long, one long, two long, spare int, low array<long>")
 
 
-def short_lists(classes: DataFrame) -> DataFrame:
-    """(c, h): the n-grams of each class's prefix that other classes have too.
+def short_lists(classes: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """(c, h, n, pos, before, head): the n-grams of each class's prefix that other classes have too.
 
-    An n-gram of one class alone needs no list. It counts as the front of the prefix, so most sets keep no list at all.
+    pos is the n-gram's place in the set, `before` the number of listed ones in front of it, and `head` the class's first `HEAD`
+    listed ones. An n-gram of one class alone needs no list. It counts as the front of the prefix, so most sets keep no list at all.
     """
-    entries = classes.select("c", "spare", F.explode("low").alias("h"))
+    entries = classes.select("c", "n", "spare", F.explode("low").alias("h"))
     counts = classes.select(F.explode("low").alias("h")).groupBy("h").agg(F.count("*").alias("df")).where("df > 1")
     low = (F.col("h") >= 0) & (F.col("h") < CUT)
-    shared = entries.join(counts, "h").select("c", "spare", F.struct(F.when(low, F.col("df")).otherwise(2 ** 62).alias("df"), "h").alias("e"))
+    shared = entries.join(counts, "h").select(
+        "c", "n", "spare", F.struct(F.when(low, F.col("df")).otherwise(2 ** 62).alias("df"), "h").alias("e"))
     # As many as a document has words, at most.
-    per_class = shared.groupBy("c").agg(F.first("spare").alias("spare"), F.array_sort(F.collect_list("e")).alias("es"))
+    per_class = shared.groupBy("c").agg(
+        F.first("n").alias("n"), F.first("spare").alias("spare"), F.array_sort(F.collect_list("e")).alias("es"))
     prefix = F.slice("es", 1, F.greatest(F.size("es") - F.col("spare"), F.lit(0)))
-    return per_class.select("c", F.explode(prefix).alias("e")).select("c", F.col("e.h").alias("h"))
+    alone = F.col("n") - F.ceil(F.col("n") * percent / 100) + 1 + F.col("spare") - F.size("es")
+    listed = per_class.select("c", "n", alone.alias("alone"), F.slice("es.h", 1, HEAD).alias("head"), F.posexplode(prefix).alias("before", "e"))
+    return listed.select("c", F.col("e.h").alias("h"), "n", (F.col("alone") + F.col("before")).cast("long").alias("pos"), "before", "head")
 
 
 class Lists:
@@ -115,6 +121,8 @@ class Lists:
         self.owners = owner[order]
         self.keys, self.starts = np.unique(flat[order], return_index=True)
         self.ends = np.append(self.starts[1:], len(flat))
+        # Every (list, set) as one number, in order: what the long lists are probed in.
+        self.places = np.repeat(np.arange(len(self.keys)), self.ends - self.starts) * len(sets) + self.owners
 
     def search(self, query: np.ndarray, percent: int) -> np.ndarray:
         """Sets of the block that are similar to the query, by DivideSkip.
@@ -130,31 +138,78 @@ class Lists:
         order = at[np.argsort(length, kind="stable")]
         aside = min(int(least / (MU * np.log2(max(2, int(length.max()))) + 1)), least - 1)
         short, long = order[:len(order) - aside], order[len(order) - aside:]
-        merged = np.concatenate([self.owners[self.starts[i]:self.ends[i]] for i in short])
+        sizes = self.ends[short] - self.starts[short]
+        merged = self.owners[np.repeat(self.starts[short] - np.cumsum(sizes) + sizes, sizes) + np.arange(sizes.sum())]
         found, times = np.unique(merged, return_counts=True)
         keep = times >= least - aside
         keep &= (100 * self.sizes[found] >= percent * len(query)) & (100 * len(query) >= percent * self.sizes[found])
         found, times = found[keep], times[keep]
-        for k, i in enumerate(long):
+        left = len(long)
+        for part in np.array_split(long, PROBES):
             if not len(found):
                 break
-            own = self.owners[self.starts[i]:self.ends[i]]
-            place = np.minimum(np.searchsorted(own, found), len(own) - 1)
-            times = times + (own[place] == found)
-            able = times + (len(long) - k - 1) >= least
+            probes = part[:, None] * len(self.sets) + found[None, :]
+            place = np.minimum(np.searchsorted(self.places, probes), len(self.places) - 1)
+            times = times + (self.places[place] == probes).sum(axis=0)
+            left -= len(part)
+            able = times + left >= least
             found, times = found[able], times[able]
         union = self.sizes[found] + len(query) - times
         return found[100 * times >= percent * union]
 
 
-def _links(frame: pd.DataFrame, percent: int) -> pd.DataFrame:
-    """Links of a block: rows (side, c, component, grams). Sides 0 and 1 are compared with each other, side 2 with itself.
-
-    Of the links between two components one is enough.
+def _groups(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[dict[str, list]]:
+    """The columns of each group of a table that is sorted by its keys."""
+    now, rows = None, {}
+    for batch in batches:
+        columns = {n: batch.column(n).to_pylist() for n in batch.schema.names}
+        own = list(zip(*(columns[k] for k in keys), strict=True))
+        cuts = [0, *(i for i in range(1, len(own)) if own[i] != own[i - 1]), len(own)]
+        for a, b in zip(cuts[:-1], cuts[1:], strict=True):
+            if a == b:
+                continue
+            if own[a] != now:
+                if now is not None:
+                    yield rows
+                now, rows = own[a], {n: [] for n in columns}
+            for n, values in columns.items():
+                rows[n] += values[a:b]
+    if now is not None:
+        yield rows
+
+
+def _met(side: np.ndarray) -> np.ndarray:
+    """Which rows of a group are compared: sides 0 and 1 with each other, side 2 with itself."""
+    return (side[:, None] == 2) | (side[:, None] != side[None, :])
+
+
+def _needed(group: dict[str, list], percent: int) -> np.ndarray:
+    """The rows of a list that still have a partner to be compared with here.
+
+    A pair is left out if it is connected, if its sizes or the places of the n-gram leave too little overlap, or if an earlier list
+    (of the first `HEAD` of each class) has it too.
     """
-    frame = frame.drop_duplicates("c").sort_values("c")
-    sets = [np.frombuffer(x, np.uint64) for x in frame["grams"]]
-    c, side, part = (frame[k].to_numpy() for k in ("c", "side", "component"))
+    part, side, n, pos = (np.array(group[k]) for k in ("component", "side", "n", "pos"))
+    rest = n - pos
+    need = -(-percent * (n[:, None] + n[None, :]) // (100 + percent))
+    open_ = _met(side) & (part[:, None] != part[None, :]) & (np.minimum(rest[:, None], rest[None, :]) >= need)
+    open_ &= (100 * n[:, None] >= percent * n[None, :]) & (100 * n[None, :] >= percent * n[:, None])
+    if open_.any():
+        earlier = [h[:b] for h, b in zip(group["head"], group["before"], strict=True)]
+        owner = np.repeat(np.arange(len(n)), [len(e) for e in earlier])
+        if len(owner):
+            seen, place = np.unique(np.concatenate([np.array(e, np.int64) for e in earlier]), return_inverse=True)
+            there = np.zeros((len(n), len(seen)), np.float32)
+            there[owner, place] = 1
+            open_ &= there @ there.T == 0
+    return open_.any(axis=1)
+
+
+def _links(group: dict[str, list], percent: int) -> list[tuple[int, int]]:
+    """Links of a group of rows (side, c, component, grams). Of the links between two components one is enough."""
+    c, side = np.array(group["c"]), np.array(group["side"])
+    part = group["component"]
+    sets = [np.frombuffer(x, np.uint64) for x in group["grams"]]
     parent = {x: x for x in part}
 
     def root(x):
@@ -162,8 +217,9 @@ def _links(frame: pd.DataFrame, percent: int) -> pd.DataFrame:
             parent[x] = x = parent[parent[x]]
         return x
 
-    queries = np.flatnonzero(side == 1) if (side == 1).any() else np.arange(len(c))
-    others = np.flatnonzero(side == 0) if (side == 1).any() else np.arange(len(c))
+    crossed = (side != 2).any()
+    queries = np.flatnonzero(side == 1) if crossed else np.arange(len(c))
+    others = np.flatnonzero(side == 0) if crossed else np.arange(len(c))
     out = []
     if len(others) and len(queries):
         lists = Lists([sets[i] for i in others])
@@ -171,14 +227,21 @@ def _links(frame: pd.DataFrame, percent: int) -> pd.DataFrame:
             for i in others[lists.search(sets[q], percent)]:
                 if (x := root(part[q])) != (y := root(part[i])):
                     parent[max(x, y)] = min(x, y)
-                    out.append((min(c[q], c[i]), max(c[q], c[i])))
-    return pd.DataFrame(out, columns=["a", "b"], dtype="int64")
+                    out.append((int(min(c[q], c[i])), int(max(c[q], c[i]))))
+    return out
 
 
 def _search(members: DataFrame, keys: list[str], sets: DataFrame, percent: int) -> DataFrame:
     """Links found in each group of members (keys, side, c, component); groups are bounded by the caller."""
     rows = members.join(sets, "c").select(*keys, "side", "c", "component", "grams")
-    return rows.groupBy(*keys).applyInPandas(lambda frame: _links(frame, percent), "a long, b long")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for group in _groups(batches, keys):
+            found = _links(group, percent)
+            if found:
+                yield pa.RecordBatch.from_arrays([pa.array([f[k] for f in found], pa.int64()) for k in (0, 1)], ["a", "b"])
+
+    return rows.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(run, "a long, b long")
 
 
 def _sets_of(docs: DataFrame, classes: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
@@ -219,23 +282,30 @@ def _star_members(lists: DataFrame) -> DataFrame:
     return placed.unionByName(each)
 
 
-def _cross_members(lists: DataFrame, labels: DataFrame) -> DataFrame:
-    """Lists that still hold more than one component, each in blocks; every pair of blocks meets in one group.
-
-    Lists of the same classes are searched once.
-    """
-    labelled = stored(lists.join(labels, lists["c"] == labels["node"], "left").select(
-        "h", "c", F.coalesce("label", "c").alias("component")), "labelled")
-    stats = labelled.groupBy("h").agg(
-        F.count("*").alias("k"), F.min("component").alias("low"), F.max("component").alias("high"),
-        F.sum(F.xxhash64("c").cast("decimal(38,0)")).alias("print"), F.min("c").alias("first"))
-    once = stats.where("low < high").groupBy("k", "print", "first").agg(F.min("h").alias("h"))
-    members = labelled.join(_blocks(once, "blocks").select("h", "blocks"), "h").withColumn(
+def _cross_members(lists: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
+    """Lists that still hold more than one component, each in blocks; every pair of blocks meets in one group."""
+    labelled = stored(lists.join(labels, lists["c"] == labels["node"], "left").drop("node").withColumn(
+        "component", F.coalesce("label", "c")).drop("label"), "labelled")
+    stats = labelled.groupBy("h").agg(F.count("*").alias("k"), F.min("component").alias("low"), F.max("component").alias("high"))
+    members = labelled.join(_blocks(stats.where("low < high"), "blocks").select("h", "blocks"), "h").withColumn(
         "own", F.pmod(F.xxhash64("c"), F.col("blocks")).cast("int"))
     # A list of one block gives each member once, a list of B blocks B times.
     met = members.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     side = F.when(F.col("own") == F.col("other"), 2).when(F.col("own") < F.col("other"), 0).otherwise(1)
-    return met.select("h", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), side.alias("side"), "c", "component")
+    keys = ["h", "i", "j"]
+    rows = met.select("h", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), side.alias("side"), "c", "component",
+                      "n", "pos", "before", "head")
+    names = [*keys, "side", "c", "component"]
+    kinds = [pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int64(), pa.int64()]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for group in _groups(batches, keys):
+            at = np.flatnonzero(_needed(group, percent))
+            if len(at):
+                yield pa.RecordBatch.from_arrays([pa.array(np.array(group[x])[at], t) for x, t in zip(names, kinds, strict=True)], names)
+
+    return stored(rows.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(
+        run, "h long, i int, j int, side int, c long, component long"), "needed")
 
 
 def similar_documents(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
@@ -249,11 +319,11 @@ def similar_documents(docs: DataFrame, size: int = SHINGLE, percent: int = PERCE
     classes = stored(rows.where("n > 0").groupBy("one", "two", "n").agg(
         F.min("doc_id").alias("least_id"), F.first("spare").alias("spare"), F.first("low").alias("low")).withColumn(
         "c", F.monotonically_increasing_id()), "classes")
-    lists = stored(short_lists(classes), "lists")
+    lists = stored(short_lists(classes, percent), "lists")
     lists = lists.join(lists.groupBy("h").agg(F.count("*").alias("k")).where("k > 1").select("h"), "h", "left_semi")
     sets = stored(_sets_of(docs, classes, lists, size), "grams")
     stars = stored(_search(_star_members(lists), ["centre", "block"], sets, percent), "stars")
-    crossed = stored(_search(_cross_members(lists, components(stars)), ["h", "i", "j"], sets, percent), "crossed")
+    crossed = stored(_search(_cross_members(lists, components(stars), percent), ["h", "i", "j"], sets, percent), "crossed")
     labels = components(stars.unionByName(crossed))
     known = classes.select("c", "one", "two", "n", "least_id").join(labels, classes["c"] == labels["node"], "left").withColumn(
         "label", F.coalesce("label", "c"))
