@@ -13,13 +13,13 @@ from plyforge.operators import dedup, encode, games, loader, metrics, positions
 from plyforge.operators.replay import legal_games, replay_moves
 from plyforge.operators.scoring import score_boards
 from plyforge.plans.dataset import (
-    annotated_games, build_dataset, qualifying_games, replayed_games, unique_positions,
+    annotated_games, build_dataset, malformed_games, replayed_games,
 )
-from plyforge.plans.training import training_batches
+from plyforge.plans.training import budgeted_batches, evaluate_sample, training_batches, with_row_id
 from plyforge.schemas import TRAIN_SEED
 from plyforge.sources import dataset
 from plyforge.sources.paths import scratch, stored
-from plyforge.sources.sinks import require_empty, write_records
+from plyforge.sources.sinks import METRICS, append_metrics, require_empty, write_batches, write_records
 from plyforge.streaming.ingest import absent_positions
 
 WINDOW, BATCH, EPOCHS, SHARDS = 1300, 64, 2, 4
@@ -222,6 +222,45 @@ def built_dataset(spark, sf):
     return as_text(dataset.scan_records(spark, output))
 
 
+def malformed(spark, sf):
+    return malformed_games(inputs.pgn_records(spark, sf, broken=True)).select("file", "game_ord", "failed_ply")
+
+
+def build_stats(spark, sf):
+    archives, output = inputs.archive_folder(spark, sf, broken=True), scratch(spark, "dataset")
+    stats = build_dataset(spark, archives, output, mode="dropmalformed", pattern="*.txt.gz")
+    counts = [(stats["unique_positions"], stats["malformed_games"])]
+    return spark.createDataFrame(counts, "unique_positions long, malformed_games long")
+
+
+def evaluated_sample(spark, sf):
+    sample = loader.eval_sample(inputs.rows(spark, sf, features=True), pool_rows=4000, sample_rows=1024)
+    got = evaluate_sample(with_row_id(loader.with_label(sample)), material_scorer, step=128, batch_rows=BATCH)
+    return got.select("step", "rows", *[F.round(c, 5).alias(c) for c in ("loss", "winning_ratio", "losing_ratio")])
+
+
+def exported_by_budget(spark, sf):
+    """Two epochs but for 300 boards, written and read back: the rows and files of each batch."""
+    rows, path = inputs.rows(spark, sf, features=True), scratch(spark, "batches")
+    batches, _ = budgeted_batches(rows, 2 * rows.count() - 300, BATCH, WINDOW, SHARDS)
+    write_batches(batches, path)
+    return spark.read.parquet(path).groupBy("shard", "window_index", "batch_index").agg(
+        F.count("*").alias("rows"), F.countDistinct("_metadata.file_path").alias("files"))
+
+
+def metrics_history(spark, sf):
+    """Training means and test metrics appended to the history in two parts, and read back."""
+    rollup = metrics.step_rollup(inputs.step_log(spark, sf), freq=128, batch_rows=BATCH, steps_per_epoch=157)
+    path = scratch(spark, "metrics")
+    tested = rollup.select("step", (F.col("step") / 8).alias("loss"), (F.col("step") / 16).alias("winning_ratio"),
+                           (F.col("step") / 32).alias("losing_ratio"))
+    for half in (F.col("step") % 256 == 0, F.col("step") % 256 != 0):
+        append_metrics(rollup.where(half), tested, path)
+    read = spark.read.option("header", True).csv(path)
+    return read.select(F.col("step").cast("long").alias("step"), F.round(F.col("epoch").cast("double"), 4).alias("epoch"), *[
+        F.round(F.col(c).cast("double"), 10).alias(c) for c in METRICS[2:]])
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "games_from_pgn": lambda s, d: games.games_from_pgn(inputs.pgn_records(s, d)),
     "filter_min_elo": lambda s, d: games.filter_min_elo(inputs.tagged_games(s, d)).select("game_id", "min_elo"),
@@ -273,4 +312,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "score_boards": score,
     "incremental_new_keys": incremental_new_keys,
     "build_dataset": built_dataset,
+    "malformed_games": malformed,
+    "build_stats": build_stats,
+    "evaluate_sample": evaluated_sample,
+    "export_by_budget": exported_by_budget,
+    "metrics_history": metrics_history,
 }

@@ -59,22 +59,22 @@ def tagged_games(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def games(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The games table."""
+def games(spark: SparkSession, sf_dir: str, broken: bool = False) -> DataFrame:
+    """The games table. `broken` writes nonsense for the fifth half-move of every 37th game."""
     k = F.col("game_ord")
     moves = F.split(F.element_at(F.array(*[F.lit(g) for g in GAMES]), (k % len(GAMES) + 1).cast("int")), " ")
 
     def half_move(san: Column, i: Column) -> Column:
         p = i + 1
         number = F.when(i % 2 == 0, F.concat((F.floor(i / 2) + 1).cast("string"), F.lit(". "))).otherwise("")
-        text = F.concat(number, san)
+        text = F.concat(number, F.when((p == 5) & (k % 37 == 0), "Zz9").otherwise(san) if broken else san)
         return F.when(k % 11 == 0, text).otherwise(F.concat_ws(" ", text, comment(k, p)))
 
     movetext = F.concat_ws(" ", F.array_join(F.transform(moves, half_move), " "), "result")
     return evaluated_once(tagged_games(spark, sf_dir), {"movetext": movetext})
 
 
-def pgn_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+def pgn_records(spark: SparkSession, sf_dir: str, broken: bool = False) -> DataFrame:
     """The same games as PGN text."""
 
     def line(name: str, value: Column) -> Column:
@@ -87,14 +87,14 @@ def pgn_records(spark: SparkSession, sf_dir: str) -> DataFrame:
         line("Event", F.lit("Rated game")), line("Site", F.col("game_id")), line("Result", F.col("result")),
         line("WhiteElo", rating("white_elo")), line("BlackElo", rating("black_elo")),
         F.lit("\n"), F.col("movetext"))
-    return games(spark, sf_dir).select("file", "game_ord", text.alias("pgn"))
+    return games(spark, sf_dir, broken).select("file", "game_ord", text.alias("pgn"))
 
 
-def archive_folder(spark: SparkSession, sf_dir: str) -> str:
+def archive_folder(spark: SparkSession, sf_dir: str, broken: bool = False) -> str:
     """The PGN text as compressed archives in key order, in a new scratch folder."""
     folder = scratch(spark, "archives")
     (
-        pgn_records(spark, sf_dir)
+        pgn_records(spark, sf_dir, broken)
         .repartitionByRange("game_ord").sortWithinPartitions("game_ord")
         .select(F.concat("pgn", F.lit("\n\n")))
         .write.option("compression", "gzip").text(folder)

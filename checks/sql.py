@@ -316,6 +316,34 @@ ORACLE: dict[str, str] = {
     "incremental_new_keys": games(f"""select fen, file, game_ord, ply, eval from position p
       where not exists (select 1 from position q where q.k % 5 < 2 and q.key = p.key)
       qualify {UNIQUE}"""),
+    "malformed_games": games("select file, game_ord, 5 as failed_ply from annotated where k % 37 = 0"),
+    "build_stats": games("""select count(distinct key) filter (k % 37 <> 0) as unique_positions,
+      (select count(*) from annotated where k % 37 = 0) as malformed_games from position"""),
+    "evaluate_sample": f"""with {rows_cte(True)},
+      pool as (select * from data_row order by file, row_index limit 4000),
+      ranked as (select *, {hash_bits(15, repr(str(EVAL_SEED)), 'file', 'row_index')} as h from pool),
+      sample as (select * from ranked order by h, file, row_index limit 1024),
+      scored as (select cast(1 / (1 + exp(-eval / 400.0)) as float) as label, row_number() over (order by h, file || ':' || row_index) as rn,
+        count(*) over () as n, cast(list_sum(list_transform(string_split(features, ','), lambda t: {PIECE_VALUES}[cast(t as int) + 1])) as double) as logit
+        from sample),
+      kept as (select *, 1 / (1 + exp(-logit)) as p from scored where (rn - 1) // {BATCH} < n // {BATCH})
+      select cast(128 as bigint) as step, count(*) as rows,
+        round(avg(greatest(logit, 0) - logit * label + ln(1 + exp(-abs(logit)))), 5) as loss,
+        round(avg(cast(p > 0.8 as int)), 5) as winning_ratio, round(avg(cast(p < 0.2 as int)), 5) as losing_ratio
+      from kept""",
+    "export_by_budget": rows(
+        f"""select shard, window_index, batch_index, rows, cast(1 as bigint) as files from (
+          select *, row_number() over (order by seq, shard) as place from (
+            select shard, window_index, batch_index, count(*) as rows,
+              row_number() over (partition by shard order by window_index, batch_index) as seq
+            from batch group by shard, window_index, batch_index))
+        where place <= (2 * (select count(*) from data_row) - 300) // {BATCH}""", SHUFFLED),
+    "metrics_history": f"""with s as (select event_id as step, value as loss, value / 50 as grad_norm, max(event_id) over () as last from events),
+      g as (select least(cast(ceil(step / 128.0) * 128 as bigint), last) as ended_at, * from s)
+      select ended_at as step, round(round(ended_at / 157.0, 5), 4) as epoch, round(avg(loss), 10) as train_loss, round(avg(grad_norm), 10) as train_grad_norm,
+        round(avg(cast(grad_norm > 1.0 as int)), 10) as train_grad_clipped, round(ended_at / 8.0, 10) as test_loss,
+        round(ended_at / 16.0, 10) as test_winning_ratio, round(ended_at / 32.0, 10) as test_losing_ratio
+      from g group by ended_at""",
     "build_dataset": f"""with {GAMES_SQL}, {MOVETEXT_SQL},
       found as (
         select p.* exclude (set_type), {split('md5(r.pgn)')} as set_type from position p join record r using (k)),

@@ -10,7 +10,7 @@ import re
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -325,6 +325,11 @@ def legal_games(replayed: DataFrame, mode: str = "failfast") -> DataFrame:
     return replayed.where("failed_ply = 0").drop("failed_ply")
 
 
+def with_rejects_counted(replayed: DataFrame, observation: Observation) -> DataFrame:
+    """The games unchanged; `observation` gets how many of them have an illegal half-move."""
+    return replayed.observe(observation, F.count_if(F.col("failed_ply") > 0).alias("illegal"), F.count("*").alias("replayed"))
+
+
 def illegal_games(replayed: DataFrame) -> DataFrame:
     """The games that `dropmalformed` drops, with the half-move that failed."""
     return replayed.where("failed_ply > 0").drop("plies")

@@ -13,7 +13,7 @@ from plyforge.operators.games import (
     split_by_game,
 )
 from plyforge.operators.positions import comment_evals, game_positions
-from plyforge.operators.replay import legal_games, replay_moves
+from plyforge.operators.replay import illegal_games, legal_games, replay_moves, with_rejects_counted
 from plyforge.schemas import ARCHIVE_GLOB, DEFAULT_MIN_ELO, MIN_PIECES, SKIP_HALF_MOVES
 from plyforge.sources.archives import list_archives, scan_archives
 from plyforge.sources.sinks import require_empty
@@ -37,26 +37,37 @@ def annotated_games(games: DataFrame, skip: int = SKIP_HALF_MOVES) -> DataFrame:
     return comment_evals(split_by_game(annotation_gate(parse_movetext(games), skip)))
 
 
-def replayed_games(annotated: DataFrame, mode: str = "failfast") -> DataFrame:
-    """Replays the moves; only what positions need goes through Python."""
+def replayed_games(annotated: DataFrame, mode: str = "failfast", rejects: Observation | None = None) -> DataFrame:
+    """Replays the moves; only what positions need goes through Python. `rejects` gets the number of illegal games."""
     needed = ["game_id", "file", "game_ord", "min_elo", "white_outcome", "set_type", "evals", "moves"]
-    return legal_games(replay_moves(annotated.select(*needed)), mode)
+    replayed = replay_moves(annotated.select(*needed))
+    return legal_games(replayed if rejects is None else with_rejects_counted(replayed, rejects), mode)
 
 
 def positions_from_records(
     records: DataFrame, min_elo: int = DEFAULT_MIN_ELO, skip: int = SKIP_HALF_MOVES,
     min_pieces: int = MIN_PIECES, mode: str = "failfast", observation: Observation | None = None,
+    rejects: Observation | None = None,
 ) -> DataFrame:
-    """PGN records to evaluated positions, not yet unique.
-
-    Archives cannot be split, so the games that qualify are spread over the cluster before the expensive
-    parse. Hashing by file and ordinal is even and repeatable, unlike round-robin, and needs no sort.
-    """
+    """PGN records to evaluated positions, not yet unique."""
     games = qualifying_games(records, min_elo)
     if observation is not None:
         games = games.observe(observation, F.count("*").alias("games"))
-    spread = games.repartition("file", "game_ord")
-    return game_positions(replayed_games(annotated_games(spread, skip), mode), skip, min_pieces)
+    return game_positions(replayed_games(spread_annotated(games, skip), mode, rejects), skip, min_pieces)
+
+
+def spread_annotated(qualifying: DataFrame, skip: int = SKIP_HALF_MOVES) -> DataFrame:
+    """Archives cannot be split, so the games that qualify are spread over the cluster before the expensive parse.
+
+    Hashing by file and ordinal is even and repeatable, unlike round-robin, and needs no sort.
+    """
+    return annotated_games(qualifying.repartition("file", "game_ord"), skip)
+
+
+def malformed_games(records: DataFrame, min_elo: int = DEFAULT_MIN_ELO, skip: int = SKIP_HALF_MOVES) -> DataFrame:
+    """`game_id, file, game_ord, failed_ply` of the annotated games that `dropmalformed` drops."""
+    annotated = spread_annotated(qualifying_games(records, min_elo), skip)
+    return illegal_games(replay_moves(annotated.select("game_id", "file", "game_ord", "moves")))
 
 
 def unique_positions(records: DataFrame, **options) -> DataFrame:
@@ -72,20 +83,26 @@ def build_dataset(
 
     With a limit, archives are taken in name order in growing groups: the first one alone, then as many as its
     yield says are needed. Without one they all are one group. Returns the final counts.
+
+    With `mode="dropmalformed"` games with an illegal half-move are counted, and listed by a second pass over the
+    group's archives only if there are any: `<output>/_ingest/group=build-N/rejects`.
     """
     require_empty(spark, output)
     listing = [(row["path"], row["length"]) for row in list_archives(spark, archives, pattern).collect()]
     log.info("processing %d archives", len(listing))
     writer = DatasetWriter(spark, output, debug_fen)
-    started, total, used, group = time.monotonic(), 0, 0, 0
+    started, total, used, group, malformed = time.monotonic(), 0, 0, 0, 0
     size = len(listing) if limit is None else 1
     while used < len(listing) and (limit is None or total < limit):
         batch = [path for path, _ in listing[used:used + size]]
-        observed = Observation()
-        positions = unique_positions(
-            scan_archives(spark, batch, pattern), min_elo=min_elo, mode=mode, observation=observed)
+        observed, rejects = Observation(), Observation()
+        records = scan_archives(spark, batch, pattern)
+        positions = unique_positions(records, min_elo=min_elo, mode=mode, observation=observed, rejects=rejects)
         names = [path.rsplit("/", 1)[-1] for path in batch]
         total += writer.append(f"build-{group}", positions, None if limit is None else limit - total, names)
+        if rejects.get["illegal"]:
+            malformed += rejects.get["illegal"]
+            malformed_games(records, min_elo).write.mode("overwrite").parquet(f"{writer.state}/group=build-{group}/rejects")
         used, group = used + len(batch), group + 1
         seconds = time.monotonic() - started
         done = "" if limit is None else f" ({total * 100 // limit}%)"
@@ -99,6 +116,6 @@ def build_dataset(
                 planned += listing[used + size][1]
                 size += 1
     seconds = time.monotonic() - started
-    stats = {"unique_positions": total, "archives": used, "seconds": seconds, "per_second": total / seconds}
+    stats = {"unique_positions": total, "archives": used, "malformed_games": malformed, "seconds": seconds, "per_second": total / seconds}
     log.info("final: %s", stats)
     return stats

@@ -211,6 +211,19 @@ def test_clock_only_games_do_not_reach_the_exchange(spark):
     assert qualifying_games(records).count() == 5
 
 
+def test_malformed_games_are_counted_and_listed(spark, games, tmp_path):
+    inbox, out = tmp_path / "in", str(tmp_path / "out")
+    inbox.mkdir()
+    broken = [*games[1][:12], "Zz9", *games[1][13:]]
+    write_archive(inbox / "a.pgn.zst", [pgn(games[0]), pgn(broken), pgn(games[2])])
+    stats = build_dataset(spark, str(inbox), out, debug_fen=True, mode="dropmalformed")
+    assert stats["malformed_games"] == 1
+    rejects = spark.read.parquet(f"{out}/_ingest/group=build-0/rejects").collect()
+    assert [(r["file"], r["failed_ply"]) for r in rejects] == [("a.pgn.zst", 13)]
+    got = {" ".join(r["fen"].split()[:4]) for r in dataset.scan_records(spark, out).collect()}
+    assert got == set(expected([("a.pgn.zst", [games[0], games[2]])]))
+
+
 def test_scores_beyond_an_integer(spark):
     rows = [("[%eval 99999999.00]", True), ("[%eval -99999999.00]", True), ("[%eval -99999999.00]", False), ("[%eval 0.29]", False)]
     got = spark.createDataFrame(rows, "c string, white_to_move boolean").withColumns(

@@ -6,9 +6,11 @@ from pyspark.sql import functions as F
 from plyforge.operators import loader as L
 from plyforge.operators.metrics import eval_metrics, run_sizing, step_rollup
 from plyforge.operators.ranking import rank_by_hash, slice_bits
-from plyforge.plans.training import export_training_batches, load_eval_sample, training_batches
+from plyforge.plans.training import (
+    budgeted_batches, evaluate_sample, export_by_budget, export_training_batches, load_eval_sample, training_batches,
+)
 from plyforge.sources import dataset
-from plyforge.sources.sinks import write_records
+from plyforge.sources.sinks import write_batches, write_records
 
 SIZES = [700, 20, 300, 1, 999, 450, 450, 10, 3000, 5, 600]
 
@@ -172,3 +174,31 @@ def test_a_hot_file_is_spread_over_tasks(spark):
     assert bits == 7
     got = training_batches(rows, 1, 1000, 100, 1)
     assert got.count() == 400_000
+
+
+def test_a_run_takes_its_budget_in_turns(spark, tmp_path):
+    rows = spark.range(1000).select(
+        F.concat(F.lit("f"), F.floor(F.col("id") / 100).cast("string")).alias("file"), (F.col("id") % 100).alias("row_index"),
+        F.expr("transform(sequence(1, 64), x -> cast(0 as tinyint))").alias("features"), F.col("id").cast("int").alias("eval"))
+    got, shortfall = budgeted_batches(rows, 1500, batch_rows=10, window_rows=150, shards=3)
+    batches = {(r["shard"], r["window_index"], r["batch_index"]) for r in got.select("shard", "window_index", "batch_index").distinct().collect()}
+    assert len(batches) == 150 and shortfall.first()["missing"] == 0
+    assert [sum(b[0] == s for b in batches) for s in range(3)] == [50, 50, 50]
+    write_batches(got, str(tmp_path / "out"), batches_per_file=4)
+    files = spark.read.parquet(str(tmp_path / "out")).groupBy("shard", "window_index", "batch_index").agg(
+        F.countDistinct("_metadata.file_path").alias("n"), F.count("*").alias("rows"))
+    assert files.where("n <> 1 or rows <> 10").count() == 0
+
+
+def test_sample_to_metrics(spark, tmp_path):
+    records = spark.range(500).select(
+        F.lit(None).cast("string").alias("fen"), F.expr("transform(sequence(1, 64), x -> cast(id % 7 as tinyint))").alias("features"),
+        (F.col("id") * 3).cast("int").alias("eval"), F.lit(1).alias("outcome"), F.lit(2000).alias("minElo"),
+        F.when(F.col("id") % 5 == 0, "test").otherwise("train").alias("setType"))
+    write_records(records, str(tmp_path / "set"))
+    sample = load_eval_sample(spark, str(tmp_path / "set"), pool_rows=60, sample_rows=50)
+    got = evaluate_sample(sample, lambda: lambda boards: boards[:, 0].astype("float64") - 3, step=256, batch_rows=16).first()
+    assert sample.count() == 50 and (got["step"], got["rows"]) == (256, 48)
+    export = export_by_budget(spark, str(tmp_path / "set"), str(tmp_path / "batches"), train_boards=600, batch_rows=10, window_rows=100, shards=2)
+    assert export["iterations"] == 60 <= export["batches"] and export["missing"] == 0
+    assert spark.read.parquet(str(tmp_path / "batches")).count() == 600
