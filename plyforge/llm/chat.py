@@ -26,6 +26,7 @@ ROLES = ("system", "user", "assistant")
 STATES = len(ROLES) * 2  # role * 2 + (1 if the line goes on with a turn)
 BLOCK_LINES = 2048
 LINES_PER_PART = 65_536
+BLOCK_KEY = ("conv_id", "part", "block")
 
 #: Words that name a role in front of a line. Fixed values.
 NAMES = {
@@ -74,7 +75,9 @@ def as_transcript(conversations: DataFrame) -> DataFrame:
     The style follows from a hash of conv_id; one turn in `UNMARKED` has no marker; a blank line stands between turns. A null text is an empty
     line. Rows that are the same in conv_id, turn, role and text are one turn.
     """
-    once = conversations.select("conv_id", "turn", F.col("role").cast("string").alias("role"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")).distinct()
+    once = conversations.select(
+        "conv_id", "turn", F.col("role").cast("string").alias("role"),
+        F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")).distinct()
     style = F.pmod(F.xxhash64("conv_id"), F.lit(len(STYLES)))
     mark: Column = F.lit("")
     for k, marks in enumerate(STYLES):
@@ -134,14 +137,16 @@ def train(lines: DataFrame) -> Model:
     after = turns.select("conv_id", (F.col("turn") - 1).alias("turn"), F.col("r").alias("next"))
     first, step = np.zeros(STATES), np.zeros((STATES, STATES))
     joined = turns.join(after, ["conv_id", "turn"], "left")
-    for r in joined.groupBy("r", "next", F.least("n", F.lit(2)).alias("m")).agg(F.sum(F.col("n") - 2).alias("inner"), F.count("*").alias("k")).collect():
+    pairs = joined.groupBy("r", "next", F.least("n", F.lit(2)).alias("m"))
+    for r in pairs.agg(F.sum(F.col("n") - 2).alias("inner"), F.count("*").alias("k")).collect():
         start, inside = r["r"] * 2, r["r"] * 2 + 1
         if r["m"] == 2:
             step[start, inside] += r["k"]
             step[inside, inside] += r["inner"]
         if r["next"] is not None:
             step[inside if r["m"] == 2 else start, r["next"] * 2] += r["k"]
-    for r in turns.join(turns.groupBy("conv_id").agg(F.min("turn").alias("turn")), ["conv_id", "turn"]).groupBy("r").count().collect():
+    begins = turns.groupBy("conv_id").agg(F.min("turn").alias("turn"))
+    for r in turns.join(begins, ["conv_id", "turn"]).groupBy("r").count().collect():
         first[r["r"] * 2] = r["count"]
     return Model(first, step, shown)
 
@@ -199,27 +204,31 @@ def _decoded(lines: DataFrame, model: Model) -> DataFrame:
         for batch in batches:
             out = [best_between(sent.value, np.array(s), b).tobytes() for s, b in zip(
                 batch.column("symbols").to_pylist(), batch.column("begins").to_pylist(), strict=True)]
-            yield pa.RecordBatch.from_arrays([*(batch.column(k) for k in ("conv_id", "part", "block")), pa.array(out, pa.binary())], ["conv_id", "part", "block", "m"])
+            yield pa.RecordBatch.from_arrays([*map(batch.column, BLOCK_KEY), pa.array(out, pa.binary())], [*BLOCK_KEY, "m"])
 
     def borders(frame: pd.DataFrame) -> pd.DataFrame:
         frame = frame.sort_values(["part", "block"])
         found = fold(sent.value, [np.frombuffer(m, np.float64).reshape(STATES, STATES) for m in frame["m"]])
-        return pd.DataFrame({"part": frame["part"].to_numpy(), "block": frame["block"].to_numpy(), "own": frame["conv_id"].to_numpy(),
-                             "before": [f[0] for f in found], "last": [f[1] for f in found]})
+        return pd.DataFrame({
+            "part": frame["part"].to_numpy(), "block": frame["block"].to_numpy(), "own": frame["conv_id"].to_numpy(),
+            "before": [f[0] for f in found], "last": [f[1] for f in found]})
 
     # A conversation of one block needs no fold. Of a longer one, a few numbers for 2,048 lines come together.
     many = begun.groupBy("conv_id").agg(F.count("*").alias("k")).where("k > 1").select(F.col("conv_id").alias("c"))
-    chained = begun.join(many, F.col("conv_id").eqNullSafe(F.col("c")), "left_semi").mapInArrow(matrices, f"conv_id {kind}, part int, block int, m binary")
+    chained = begun.join(many, F.col("conv_id").eqNullSafe(F.col("c")), "left_semi").mapInArrow(
+        matrices, f"conv_id {kind}, part int, block int, m binary")
     ends = chained.groupBy("conv_id").applyInPandas(borders, f"part int, block int, own {kind}, before int, last int")
-    placed = begun.join(ends.withColumnsRenamed({"part": "p", "block": "b"}), F.col("conv_id").eqNullSafe(F.col("own")) & (F.col("part") == F.col("p")) & (
-        F.col("block") == F.col("b")), "left").select("conv_id", "part", "block", "symbols", F.coalesce("before", F.lit(-1)).alias("before"), F.coalesce("last", F.lit(-1)).alias("last"))
+    same = F.col("conv_id").eqNullSafe(F.col("own")) & (F.col("part") == F.col("p")) & (F.col("block") == F.col("b"))
+    placed = begun.join(ends.withColumnsRenamed({"part": "p", "block": "b"}), same, "left").select(
+        *BLOCK_KEY, "symbols", *[F.coalesce(c, F.lit(-1)).alias(c) for c in ("before", "last")])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out = [decode(sent.value, np.array(s), None if b < 0 else b, None if e < 0 else e).astype(np.int32) for s, b, e in zip(
-                *(batch.column(k).to_pylist() for k in ("symbols", "before", "last")), strict=True)]
-            yield pa.RecordBatch.from_arrays([*(batch.column(k) for k in ("conv_id", "part", "block")), pa.array([o.tolist() for o in out], pa.list_(pa.int32()))],
-                                             ["conv_id", "part", "block", "states"])
+            columns = (batch.column(k).to_pylist() for k in ("symbols", "before", "last"))
+            out = [decode(sent.value, np.array(s), None if b < 0 else b, None if e < 0 else e).tolist()
+                   for s, b, e in zip(*columns, strict=True)]
+            yield pa.RecordBatch.from_arrays(
+                [*map(batch.column, BLOCK_KEY), pa.array(out, pa.list_(pa.int32()))], [*BLOCK_KEY, "states"])
 
     return placed.mapInArrow(run, f"conv_id {kind}, part int, block int, states array<int>")
 
@@ -234,14 +243,16 @@ def recover_turns(lines: DataFrame, model: Model) -> DataFrame:
     states = _decoded(lines, model).select(F.col("conv_id").alias("c"), F.col("part").alias("p"), F.col("block").alias("b"), "states")
     blocked = lines.withColumn("block", F.floor(F.col("place") / BLOCK_LINES).cast("int"))
     base = blocked.groupBy("conv_id", "part", "block").agg(F.min("place").alias("low"))
-    known = states.join(base, F.col("c").eqNullSafe(F.col("conv_id")) & (F.col("p") == F.col("part")) & (F.col("b") == F.col("block"))).select(
-        "c", F.col("part").alias("p"), F.posexplode("states").alias("i", "state"), "low").select("c", "p", (F.col("low") + F.col("i")).alias("at"), "state")
-    labelled = stored(lines.join(known, F.col("conv_id").eqNullSafe(F.col("c")) & (F.col("part") == F.col("p")) & (F.col("place") == F.col("at"))).select(
-        "conv_id", "part", "place", "line", "state"), "labelled")
+    same_block = F.col("c").eqNullSafe(F.col("conv_id")) & (F.col("p") == F.col("part")) & (F.col("b") == F.col("block"))
+    known = states.join(base, same_block).select("c", "p", F.posexplode("states").alias("i", "state"), "low").select(
+        "c", "p", (F.col("low") + F.col("i")).alias("at"), "state")
+    same_line = F.col("conv_id").eqNullSafe(F.col("c")) & (F.col("part") == F.col("p")) & (F.col("place") == F.col("at"))
+    labelled = stored(lines.join(known, same_line).select("conv_id", "part", "place", "line", "state"), "labelled")
     starts = labelled.groupBy("conv_id", "part").agg(F.sum((F.col("state") % 2 == 0).cast("long")).alias("n"))
     # One row for each conversation and partition that holds a stretch of it.
     before = Window.partitionBy("conv_id").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = starts.select(F.col("conv_id").alias("c"), F.col("part").alias("p"), F.coalesce(F.sum("n").over(before), F.lit(0)).alias("earlier"))
+    offsets = starts.select(
+        F.col("conv_id").alias("c"), F.col("part").alias("p"), F.coalesce(F.sum("n").over(before), F.lit(0)).alias("earlier"))
     within = Window.partitionBy("conv_id", "part").orderBy("place").rowsBetween(Window.unboundedPreceding, 0)
     numbered = labelled.withColumn("k", F.sum((F.col("state") % 2 == 0).cast("long")).over(within)).join(
         offsets, F.col("conv_id").eqNullSafe(F.col("c")) & (F.col("part") == F.col("p"))).withColumn(
@@ -257,10 +268,12 @@ def recover_turns(lines: DataFrame, model: Model) -> DataFrame:
                 begin = marker(own[0])[1] if own else 0
                 texts.append("\n".join([own[0][begin:], *own[1:]]).strip("\n"))
             shown = [f"<|im_start|>{r}\n{t}<|im_end|>" for r, t in zip(roles, texts, strict=True)]
-            yield pa.RecordBatch.from_arrays([batch.column("conv_id"), batch.column("turn_index"), *(pa.array(x, pa.string()) for x in (roles, texts, shown))],
-                                             ["conv_id", "turn_index", "role", "text", "rendered"])
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("conv_id"), batch.column("turn_index"), *(pa.array(x, pa.string()) for x in (roles, texts, shown))],
+                ["conv_id", "turn_index", "role", "text", "rendered"])
 
-    return turns.select("conv_id", "turn_index", F.col("rows.line").alias("own"), F.col("rows.state").alias("states")).mapInArrow(
+    flat = turns.select("conv_id", "turn_index", F.col("rows.line").alias("own"), F.col("rows.state").alias("states"))
+    return flat.mapInArrow(
         render, f"conv_id {kind}, turn_index long, role string, text string, rendered string")
 
 
