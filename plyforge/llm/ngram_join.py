@@ -18,16 +18,17 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from plyforge.llm.components import components
 from plyforge.llm.texts import breaks_at_space, mix, words
 from plyforge.sources.paths import stored
 
 SHINGLE, PERCENT = 3, 90
-#: Hashes below a sixth of their range are ordered by count; a similar pair needs a tenth of a set.
-CUT = (1 << 64) // 6
+#: Hashes below a seventh of their range are ordered by count; a similar pair needs a tenth of a set.
+CUT = (1 << 64) // 7
 BLOCK = 512
-HEAD = 32
+HEAD = 16
 PROBES = 8
 MU = 0.01
 
@@ -90,23 +91,21 @@ def _set_rows(docs: DataFrame, size: int, percent: int) -> DataFrame:
 
 
 def short_lists(classes: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """(c, h, n, pos, before, head): the n-grams of each class's prefix that other classes have too.
+    """(c, n, alone, listed) for the classes whose prefix has n-grams that other classes have too: these, in order.
 
-    pos is the n-gram's place in the set, `before` the number of listed ones in front of it, and `head` the class's first `HEAD`
-    listed ones. An n-gram of one class alone needs no list. It counts as the front of the prefix, so most sets keep no list at all.
+    `alone` is the number of n-grams in front of them. An n-gram of one class alone needs no list. It counts as the front of the
+    prefix, so most sets keep no list at all.
     """
-    entries = classes.select("c", "n", "spare", F.explode("low").alias("h"))
-    counts = classes.select(F.explode("low").alias("h")).groupBy("h").agg(F.count("*").alias("df")).where("df > 1")
+    entries = classes.select("c", F.explode("low").alias("h"))
+    counts = entries.groupBy("h").agg(F.count("*").alias("df")).where("df > 1")
     low = (F.col("h") >= 0) & (F.col("h") < CUT)
     shared = entries.join(counts, "h").select(
-        "c", "n", "spare", F.struct(F.when(low, F.col("df")).otherwise(2 ** 62).alias("df"), "h").alias("e"))
+        "c", F.struct(F.when(low, F.col("df")).otherwise(2 ** 62).alias("df"), "h").alias("e"))
     # As many as a document has words, at most.
-    per_class = shared.groupBy("c").agg(
-        F.first("n").alias("n"), F.first("spare").alias("spare"), F.array_sort(F.collect_list("e")).alias("es"))
+    per_class = shared.groupBy("c").agg(F.array_sort(F.collect_list("e")).alias("es")).join(classes.select("c", "n", "spare"), "c")
     prefix = F.slice("es", 1, F.greatest(F.size("es") - F.col("spare"), F.lit(0)))
     alone = F.col("n") - F.ceil(F.col("n") * percent / 100) + 1 + F.col("spare") - F.size("es")
-    listed = per_class.select("c", "n", alone.alias("alone"), F.slice("es.h", 1, HEAD).alias("head"), F.posexplode(prefix).alias("before", "e"))
-    return listed.select("c", F.col("e.h").alias("h"), "n", (F.col("alone") + F.col("before")).cast("long").alias("pos"), "before", "head")
+    return per_class.select("c", "n", alone.cast("long").alias("alone"), prefix["h"].alias("listed")).where(F.size("listed") > 0)
 
 
 class Lists:
@@ -231,9 +230,63 @@ def _links(group: dict[str, list], percent: int) -> list[tuple[int, int]]:
     return out
 
 
+def bitmap(grams: np.ndarray) -> bytes:
+    """A bit for each hash bucket that holds an odd number of n-grams; at least four bits for each n-gram."""
+    bits = 1 << max(6, int(4 * len(grams) - 1).bit_length())
+    odd = np.bincount((grams & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").tobytes()
+
+
+def most_overlap(one: bytes, others: list[bytes], n: int, sizes: np.ndarray) -> np.ndarray:
+    """No pair overlaps in more than half of what its sizes exceed the bits in which the bitmaps differ.
+
+    A bitmap twice as long is folded: the buckets of the shorter one are pairs of its buckets.
+    """
+    out = np.zeros(len(others), np.int64)
+    for k, other in enumerate(others):
+        a, b = (np.frombuffer(x, np.uint64) for x in (one, other))
+        while len(a) > len(b):
+            a = a[:len(a) // 2] ^ a[len(a) // 2:]
+        while len(b) > len(a):
+            b = b[:len(b) // 2] ^ b[len(b) // 2:]
+        out[k] = (n + sizes[k] - int(np.bitwise_count(a ^ b).sum())) // 2
+    return out
+
+
+def _near(group: dict[str, list], percent: int) -> np.ndarray:
+    """The rows of a group whose bitmap leaves room for a similar row that is not connected to it yet."""
+    part, side, n = (np.array(group[k]) for k in ("component", "side", "n"))
+    pairs = np.triu(_met(side) & (part[:, None] != part[None, :]), 1)
+    pairs &= (100 * n[:, None] >= percent * n[None, :]) & (100 * n[None, :] >= percent * n[:, None])
+    keep = np.zeros(len(n), bool)
+    for i in np.flatnonzero(pairs.any(axis=1)):
+        others = np.flatnonzero(pairs[i])
+        bound = most_overlap(group["bits"][i], [group["bits"][j] for j in others], int(n[i]), n[others])
+        near = others[bound >= -(-percent * (n[i] + n[others]) // (100 + percent))]
+        keep[near] = True
+        keep[i] |= len(near) > 0
+    return keep
+
+
+def _only_near(members: DataFrame, keys: list[str], bitmaps: DataFrame, percent: int) -> DataFrame:
+    """Members for which the sets themselves have to be compared. Bitmaps are an eighth of the sets' size."""
+    names = [*keys, "side", "c", "component"]
+    rows = members.join(bitmaps, "c").select(*names, "n", "bits")
+    fields = [members.schema[x] for x in names]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for group in _groups(batches, keys):
+            at = np.flatnonzero(_near(group, percent))
+            if len(at):
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.array(group[f.name])[at], pa.int32() if f.dataType.typeName() == "integer" else pa.int64()) for f in fields], names)
+
+    return stored(rows.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(run, StructType(fields)), "near")
+
+
 def _search(members: DataFrame, keys: list[str], sets: DataFrame, percent: int) -> DataFrame:
     """Links found in each group of members (keys, side, c, component); groups are bounded by the caller."""
-    rows = members.join(sets, "c").select(*keys, "side", "c", "component", "grams")
+    rows = members.join(sets.select("c", "grams"), "c").select(*keys, "side", "c", "component", "grams")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for group in _groups(batches, keys):
@@ -245,25 +298,33 @@ def _search(members: DataFrame, keys: list[str], sets: DataFrame, percent: int)
 
 
 def _sets_of(docs: DataFrame, classes: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
-    """(c, grams) of the wanted classes, from the text of one document each."""
+    """(c, n, grams, bits) of the wanted classes, from the text of one document each."""
     found = classes.join(wanted.select("c").distinct(), "c", "left_semi").select("c", "least_id", "one", "two")
     texts = docs.select("doc_id", F.col("text").cast("string").alias("text")).join(
         found, F.col("doc_id").eqNullSafe(F.col("least_id"))).select(
         "c", "one", "two", "text")
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[int] = set()  # repeated rows of a document come to one task, or to a few if Spark splits them
         for batch in batches:
-            one, two = (batch.column(k).to_numpy() for k in ("one", "two"))
+            fresh = [i for i, c in enumerate(batch.column("c").to_pylist()) if c not in seen]
+            batch = batch.take(pa.array(fresh, pa.int64()))
+            one, two, classes_ = (batch.column(k).to_numpy() for k in ("one", "two", "c"))
             at, out = [], []
             for i, own in enumerate(shingle_sets(batch.column("text"), size)):
                 mixed = mix(own + np.uint64(77))
                 if len(own) and _signed(np.bitwise_xor.reduce(mixed, keepdims=True))[0] == one[i] and _signed(
                         np.add.reduce(mixed * np.uint64(0x2545F4914F6CDD1D), keepdims=True))[0] == two[i]:
-                    at.append(i)
-                    out.append(own.tobytes())
-            yield pa.RecordBatch.from_arrays([batch.column("c").take(pa.array(at, pa.int64())), pa.array(out, pa.binary())], ["c", "grams"])
+                    if classes_[i] not in seen:
+                        seen.add(int(classes_[i]))
+                        at.append(i)
+                        out.append(own.tobytes())
+            bits = [bitmap(np.frombuffer(x, np.uint64)) for x in out]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("c").take(pa.array(at, pa.int64())), pa.array([len(x) // 8 for x in out], pa.int64()),
+                 pa.array(out, pa.binary()), pa.array(bits, pa.binary())], ["c", "n", "grams", "bits"])
 
-    return texts.mapInArrow(rows, "c long, grams binary").dropDuplicates(["c"])
+    return texts.mapInArrow(rows, "c long, n long, grams binary, bits binary")
 
 
 def _blocks(counts: DataFrame, name: str) -> DataFrame:
@@ -282,13 +343,16 @@ def _star_members(lists: DataFrame) -> DataFrame:
     return placed.unionByName(each)
 
 
-def _cross_members(lists: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
+def _cross_members(prefixes: DataFrame, lists: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
     """Lists that still hold more than one component, each in blocks; every pair of blocks meets in one group."""
-    labelled = stored(lists.join(labels, lists["c"] == labels["node"], "left").drop("node").withColumn(
-        "component", F.coalesce("label", "c")).drop("label"), "labelled")
+    labelled = lists.join(labels, lists["c"] == labels["node"], "left").select(
+        "c", "h", "before", F.coalesce("label", "c").alias("component"))
+    labelled = stored(labelled, "labelled")
     stats = labelled.groupBy("h").agg(F.count("*").alias("k"), F.min("component").alias("low"), F.max("component").alias("high"))
-    members = labelled.join(_blocks(stats.where("low < high"), "blocks").select("h", "blocks"), "h").withColumn(
-        "own", F.pmod(F.xxhash64("c"), F.col("blocks")).cast("int"))
+    # What the comparison needs of a class joins only here, where most lists are gone.
+    heads = prefixes.select("c", "n", "alone", F.slice("listed", 1, HEAD).alias("head"))
+    members = labelled.join(_blocks(stats.where("low < high"), "blocks").select("h", "blocks"), "h").join(heads, "c").withColumn(
+        "pos", F.col("alone") + F.col("before")).withColumn("own", F.pmod(F.xxhash64("c"), F.col("blocks")).cast("int"))
     # A list of one block gives each member once, a list of B blocks B times.
     met = members.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     side = F.when(F.col("own") == F.col("other"), 2).when(F.col("own") < F.col("other"), 0).otherwise(1)
@@ -315,15 +379,18 @@ def similar_documents(docs: DataFrame, size: int = SHINGLE, percent: int = PERCE
     or one without words, has an empty set and is linked with nothing. component_id is the smallest doc_id of the component, null ids left
     aside (a row without words keeps its own id). Repeated rows are copies like others.
     """
-    rows = stored(_set_rows(docs, size, percent), "sets")
+    rows = _set_rows(docs, size, percent)  # made twice: to keep the sets' low n-grams would cost half the input in disk
     classes = stored(rows.where("n > 0").groupBy("one", "two", "n").agg(
         F.min("doc_id").alias("least_id"), F.first("spare").alias("spare"), F.first("low").alias("low")).withColumn(
         "c", F.monotonically_increasing_id()), "classes")
-    lists = stored(short_lists(classes, percent), "lists")
-    lists = lists.join(lists.groupBy("h").agg(F.count("*").alias("k")).where("k > 1").select("h"), "h", "left_semi")
+    prefixes = stored(short_lists(classes, percent), "prefixes")
+    lists = prefixes.select("c", F.posexplode("listed").alias("before", "h"))
+    lists = stored(lists.join(lists.groupBy("h").agg(F.count("*").alias("k")).where("k > 1").select("h"), "h", "left_semi"), "lists")
     sets = stored(_sets_of(docs, classes, lists, size), "grams")
-    stars = stored(_search(_star_members(lists), ["centre", "block"], sets, percent), "stars")
-    crossed = stored(_search(_cross_members(lists, components(stars), percent), ["h", "i", "j"], sets, percent), "crossed")
+    bitmaps, star, keys = sets.select("c", "n", "bits"), ["centre", "block"], ["h", "i", "j"]
+    stars = stored(_search(_only_near(_star_members(lists), star, bitmaps, percent), star, sets, percent), "stars")
+    near = _only_near(_cross_members(prefixes, lists, components(stars), percent), keys, bitmaps, percent)
+    crossed = stored(_search(near, keys, sets, percent), "crossed")
     labels = components(stars.unionByName(crossed))
     known = classes.select("c", "one", "two", "n", "least_id").join(labels, classes["c"] == labels["node"], "left").withColumn(
         "label", F.coalesce("label", "c"))
