@@ -3,6 +3,8 @@
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from plyforge.sources.paths import stored
+
 RATIO, LEAST_PAGES = 0.1, 5
 
 
@@ -38,8 +40,8 @@ def drop_boilerplate(docs: DataFrame, host: str = "source", ratio: float = RATIO
     # The row travels as one value, so that no name of its columns can clash.
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col("text").cast("string").alias("text"),
                        F.coalesce(F.col(host).cast("string"), F.lit("")).alias("_host"))
-    # The page side is split if a host is large; it is not shuffled at all while the other side is small.
-    joined = rows.join(boilerplate(docs, host, ratio, least_pages), "_host", "left").withColumn("lines", F.split("text", "\n"))
+    # Stored, so that its size is known: while it is small, Spark does not shuffle the pages; else it splits large hosts.
+    joined = rows.join(stored(boilerplate(docs, host, ratio, least_pages), "boilerplate"), "_host", "left").withColumn("lines", F.split("text", "\n"))
     kept = F.when(F.col("_boilerplate").isNull(), F.col("lines")).otherwise(
         F.filter("lines", lambda x: ~F.array_contains(F.col("_boilerplate"), _line_key(x)) | (F.trim(x) == "")))
     joined = joined.withColumn("kept", kept)

@@ -75,8 +75,7 @@ class Words(NamedTuple):
 
 
 def buffers(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """Offsets and UTF-8 bytes of a string column; null is an empty text."""
-    column = pc.fill_null(column.cast(pa.large_string()), "")
+    """Offsets and UTF-8 bytes of a string column."""
     _, offsets, data = column.buffers()
     at = np.frombuffer(offsets, np.int64)[column.offset:column.offset + len(column) + 1]
     return at, np.frombuffer(data, np.uint8) if data is not None else np.zeros(0, np.uint8)
@@ -91,7 +90,7 @@ def _hashed(data: np.ndarray, at: np.ndarray, breaks: np.ndarray, head: int) ->
     inner = at[(at > 0) & (at < size)]
     before[inner], after[inner - 1] = True, True
     start, end = np.flatnonzero(~gap & before), np.flatnonzero(~gap & after) + 1
-    power, inverse = _powers(SEGMENT if size <= SEGMENT else size)
+    power, inverse = _powers(max(SEGMENT, 1 << size.bit_length()))
     sums = np.zeros(size + 1, np.uint64)
     np.cumsum(_codes()[data] * power[:size], out=sums[1:])
 
@@ -123,20 +122,24 @@ def words(column: pa.Array, breaks: np.ndarray, head: int = 0, lower: bool = Fal
 
     A-Z always count as a-z; with `lower`, so do the capitals of other scripts.
     """
-    at, data = buffers(pc.utf8_lower(column) if lower else column)
+    ends = np.cumsum(pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False).astype(np.int64))
     first, count = 0, len(column)
     while first < count:
-        last = max(int(np.searchsorted(at, at[first] + SEGMENT, "right")) - 1, first + 1)
-        last = min(last, count)
-        low, high = int(at[first]), int(at[last])
-        if high - low <= SEGMENT:
-            text, hashes, heads = _hashed(data[low:high], at[first:last] - low, breaks, head)
+        before = int(ends[first - 1]) if first else 0
+        last = min(max(int(np.searchsorted(ends, before + SEGMENT, "right")), first + 1), count)
+        # Only the group at hand is copied, so that memory does not follow the size of a batch.
+        own = pc.fill_null(column.slice(first, last - first).cast(pa.large_string()), "")
+        at, data = buffers(pc.utf8_lower(own) if lower else own)
+        low, high = int(at[0]), int(at[-1])
+        if last - first > 1 or high - low <= SEGMENT:  # lower case can be longer than the text
+            text, hashes, heads = _hashed(data[low:high], at[:-1] - low, breaks, head)
         else:
             parts = [_hashed(data[a:b], np.zeros(1, np.int64), breaks, head) for a, b in _cuts(data, low, high, breaks)]
             text, hashes = (np.concatenate([p[i] for p in parts]) for i in (0, 1))
             heads = np.concatenate([p[2] for p in parts]) if head else None
         yield Words(first, last, text + first, hashes, heads)
         first = last
+    pa.default_memory_pool().release_unused()
 
 
 def word_hashes(text: str, breaks: np.ndarray, head: int = 0) -> Words:
