@@ -93,18 +93,22 @@ def _set_rows(docs: DataFrame, size: int, percent: int) -> DataFrame:
 def short_lists(classes: DataFrame, percent: int = PERCENT) -> DataFrame:
     """(c, n, alone, listed) for the classes whose prefix has n-grams that other classes have too: these, in order.
 
-    `alone` is the number of n-grams in front of them. An n-gram of one class alone needs no list. It counts as the front of the
-    prefix, so most sets keep no list at all.
+    `alone` is the number of n-grams below the cut that no other class has: they stand in front of the listed ones. An n-gram of one class
+    alone needs no list, so most sets keep no list at all. Above the cut an n-gram that one class alone has taken may stand in
+    others behind what they took, so it is not counted.
     """
     entries = classes.select("c", F.explode("low").alias("h"))
     counts = entries.groupBy("h").agg(F.count("*").alias("df")).where("df > 1")
     low = (F.col("h") >= 0) & (F.col("h") < CUT)
-    shared = entries.join(counts, "h").select(
-        "c", F.struct(F.when(low, F.col("df")).otherwise(2 ** 62).alias("df"), "h").alias("e"))
+    # Hashes are signed here: those from 2^63 on are negative and come last.
+    behind = F.when(F.col("h") >= 0, 2 ** 62).otherwise(2 ** 62 + 1)
+    shared = entries.join(counts, "h").select("c", F.struct(F.when(low, F.col("df")).otherwise(behind).alias("df"), "h").alias("e"))
     # As many as a document has words, at most.
-    per_class = shared.groupBy("c").agg(F.array_sort(F.collect_list("e")).alias("es")).join(classes.select("c", "n", "spare"), "c")
+    below = F.size(F.filter("low", lambda h: (h >= 0) & (h < CUT)))
+    per_class = shared.groupBy("c").agg(F.array_sort(F.collect_list("e")).alias("es")).join(
+        classes.select("c", "n", "spare", below.alias("below")), "c")
     prefix = F.slice("es", 1, F.greatest(F.size("es") - F.col("spare"), F.lit(0)))
-    alone = F.col("n") - F.ceil(F.col("n") * percent / 100) + 1 + F.col("spare") - F.size("es")
+    alone = F.col("below") - F.size(F.filter("es", lambda e: e["df"] < 2 ** 62))
     return per_class.select("c", "n", alone.cast("long").alias("alone"), prefix["h"].alias("listed")).where(F.size("listed") > 0)
 
 

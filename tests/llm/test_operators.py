@@ -188,6 +188,29 @@ def test_ngram_families(spark, monkeypatch, block):
     assert got == plain.components({i: plain.shingles(t) for i, t in enumerate(rows)})
 
 
+def test_ngram_places_are_exact(spark):
+    """The place of a listed n-gram leaves every similar pair room: short texts with a shared passage and words put behind it."""
+    rng = random.Random(8)
+    rows = []
+    for family in range(120):
+        words = [f"f{family}w{i}" for i in range(rng.randint(18, 40))]
+        rows += [" ".join(words + [f"f{family}e{k}x{i}" for i in range(k)]) for k in range(4)]
+    frame = spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string")
+    sets = [np.array(s) for s in ngram_join.shingle_sets(pa.array(rows))]
+    classes = ngram_join._set_rows(frame, 3, 90).withColumnRenamed("doc_id", "c")
+    listed = {r["c"]: (r["alone"], r["listed"]) for r in ngram_join.short_lists(classes).collect()}
+    met = 0
+    for a in range(len(rows)):
+        for b in range(a + 1, len(rows)):
+            both = len(np.intersect1d(sets[a], sets[b]))
+            if a // 4 == b // 4 and 100 * both >= 90 * (len(sets[a]) + len(sets[b]) - both):
+                (one, first), (two, second) = listed[a], listed[b]
+                k = next(k for k, h in enumerate(first) if h in second)
+                assert both <= min(len(sets[a]) - one - k, len(sets[b]) - two - second.index(first[k]))
+                met += 1
+    assert met > 100
+
+
 def test_leaks(spark, docs):
     items = {r["item_id"]: r["text"] for r in spark.read.parquet(f"{SF}/benchmark.parquet").collect()}
     kept, overlap = decontamination.THRESHOLD, decontamination.OVERLAP
