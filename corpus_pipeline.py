@@ -25,9 +25,9 @@ def drop_boilerplate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each component of similar documents."""
+    """One document of each component of documents whose runs of five words have a Jaccard similarity of 0.8 or more."""
     ship_library(spark)
-    return ngram_join.one_of_each(docs)
+    return ngram_join.one_of_each(docs, NEAR_WORDS, NEAR_PERCENT)
 
 
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -42,6 +42,9 @@ def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return packing.pack_documents(docs, tokenizer_path())
 
 
+#: Near copies share four fifths of their runs of five words, or more. op7_ngram_join has thresholds of its own.
+NEAR_WORDS, NEAR_PERCENT = 5, 80
+
 STAGES = [
     ("toxicity", drop_toxic),
     ("line_dedup", drop_boilerplate),

@@ -25,8 +25,6 @@ from plyforge.llm.texts import breaks_at_space, mix, words
 from plyforge.sources.paths import stored
 
 SHINGLE, PERCENT = 3, 90
-#: Hashes below a seventh of their range are ordered by count; a similar pair needs a tenth of a set.
-CUT = (1 << 64) // 7
 BLOCK = 512
 HEAD = 16
 PROBES = 8
@@ -59,13 +57,21 @@ def least_overlap(n: int, percent: int = PERCENT) -> int:
     return -(-percent * n // 100)
 
 
+def cut_of(percent: int = PERCENT) -> int:
+    """Hashes below it are ordered by count: a seventh of their range at 90 percent, where a similar pair needs a tenth of a set.
+
+    It grows with the part that a pair needs, up to half the range, so that the prefix of nearly every set lies below it.
+    """
+    return min((1 << 64) * (100 - percent) // 70, (1 << 63) - 1)
+
+
 def _signed(values: np.ndarray) -> np.ndarray:
     return values.astype(np.uint64).view(np.int64)
 
 
 def _set_rows(docs: DataFrame, size: int, percent: int) -> DataFrame:
     """doc_id, n, two hashes of the set, its low n-grams, and how many more of these there are than the prefix needs."""
-    kind = docs.schema["doc_id"].dataType.simpleString()
+    kind, cut = docs.schema["doc_id"].dataType.simpleString(), np.uint64(cut_of(percent))
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -76,7 +82,7 @@ def _set_rows(docs: DataFrame, size: int, percent: int) -> DataFrame:
                 one.append(np.bitwise_xor.reduce(mixed, initial=0))
                 two.append(np.add.reduce(mixed * np.uint64(0x2545F4914F6CDD1D), dtype=np.uint64) if len(own) else 0)
                 prefix = len(own) - least_overlap(len(own), percent) + 1 if len(own) else 0
-                taken = max(int(np.searchsorted(own, np.uint64(CUT))), prefix)
+                taken = max(int(np.searchsorted(own, cut)), prefix)
                 spare.append(taken - prefix)
                 low.append(own[:taken])
             ends = np.concatenate([[0], np.cumsum([len(x) for x in low])]).astype(np.int32)
@@ -99,12 +105,13 @@ def short_lists(classes: DataFrame, percent: int = PERCENT) -> DataFrame:
     """
     entries = classes.select("c", F.explode("low").alias("h"))
     counts = entries.groupBy("h").agg(F.count("*").alias("df")).where("df > 1")
-    low = (F.col("h") >= 0) & (F.col("h") < CUT)
+    cut = cut_of(percent)
+    low = (F.col("h") >= 0) & (F.col("h") < cut)
     # Hashes are signed here: those from 2^63 on are negative and come last.
     behind = F.when(F.col("h") >= 0, 2 ** 62).otherwise(2 ** 62 + 1)
     shared = entries.join(counts, "h").select("c", F.struct(F.when(low, F.col("df")).otherwise(behind).alias("df"), "h").alias("e"))
     # As many as a document has words, at most.
-    below = F.size(F.filter("low", lambda h: (h >= 0) & (h < CUT)))
+    below = F.size(F.filter("low", lambda h: (h >= 0) & (h < cut)))
     per_class = shared.groupBy("c").agg(F.array_sort(F.collect_list("e")).alias("es")).join(
         classes.select("c", "n", "spare", below.alias("below")), "c")
     prefix = F.slice("es", 1, F.greatest(F.size("es") - F.col("spare"), F.lit(0)))

@@ -1,10 +1,13 @@
 """The stages of the pipeline on their own inputs, against plain versions."""
 
+import random
+
 import pytest
 
 import corpus_pipeline
 from plyforge.sources.paths import stored
 from tests.llm import plain
+from tests.llm.nasty import SCHEMA
 
 SF = "/root/testdata/sf0.01"
 
@@ -42,6 +45,25 @@ def test_one_of_each_component(passed):
     assert passed[3].keys() == {i for i, c in want.items() if i == c}
 
 
+def test_near_copies_of_five_words(spark):
+    """The stage's own thresholds: copies with changed words, around a similarity of 0.8, and short texts with words put behind them."""
+    rng = random.Random(9)
+    rows = []
+    for family in range(12):
+        base = [f"f{family}w{i}" for i in range(rng.randint(20, 160))]
+        for _ in range(8):
+            words = list(base)
+            for _ in range(rng.randint(0, 3)):
+                words[rng.randrange(len(words))] = f"x{rng.randrange(10 ** 6)}"
+            rows.append(" ".join(words + [f"e{rng.randrange(10 ** 6)}" for _ in range(rng.randint(0, 4))]))
+    frame = spark.createDataFrame([(i, t, "en", "a", len(t)) for i, t in enumerate(rows)], SCHEMA)
+    want = plain.components({i: plain.shingles(t, 5) for i, t in enumerate(rows)}, 80)
+    strict = plain.components({i: plain.shingles(t) for i, t in enumerate(rows)})
+    assert len(set(want.values())) < len(set(strict.values()))
+    got = [r["doc_id"] for r in corpus_pipeline.drop_near_copies(spark, frame, SF).collect()]
+    assert sorted(got) == sorted(set(want.values()))
+
+
 def test_leaks(spark, passed):
     items = [r["text"].lower() for r in spark.read.parquet(f"{SF}/benchmark.parquet").collect()]
     hit = {i for i, r in passed[3].items() if any(x in r["text"].lower() for x in items)}
