@@ -1,7 +1,9 @@
 """Benchmark decontamination: BM25 over an index of test items with list and block maxima, then an overlap check.
 
-Every training document is cut into passages of `PASSAGE` words that overlap by half, and each passage is a query. The weight of a term
-in an item is its BM25 weight divided by the item's own score, so one threshold fits long and short items. Bounds skip work as in
+Items are indexed by length: those of at most `PASSAGE` words, of at most twice as many, and so on up to the longest one. For each of these
+classes every training document is cut into passages of that many words that overlap by half, and each passage is a query. The weight of a term
+in an item is its BM25 weight divided by the item's own score. A copy of an item lies in two passages next to each other, so one of
+them has half of its score at least: one threshold fits long and short items. Bounds skip work as in
 block-max WAND, for many passages at a time: the sum of a passage's list maxima must reach the threshold, then
 the sum of block maxima for a block of items, and only items in such blocks are scored.
 """
@@ -19,7 +21,7 @@ from pyspark.sql import functions as F
 from plyforge.llm.texts import breaks_at_symbols, mix, words
 from plyforge.sources.paths import stored
 
-PASSAGE, HALF = 64, 32
+PASSAGE = 64
 K1, B = 1.2, 0.75
 THRESHOLD, OVERLAP = 0.5, 0.5
 GRAM = 3
@@ -46,6 +48,7 @@ class Index(NamedTuple):
     block_max: np.ndarray
     questions: list[np.ndarray]
     answers: list[np.ndarray]
+    passage: int
 
 
 def split_item(text: str) -> tuple[str, str]:
@@ -107,7 +110,10 @@ def _sequences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _weights(items: DataFrame) -> DataFrame:
-    """item, item_id, term and the BM25 weight as a share of the item's own score; statistics over all items."""
+    """item, item_id, passage, term and the BM25 weight as a share of the item's own score; statistics over all items.
+
+    `passage` is the least doubling of `PASSAGE` that holds the item.
+    """
     kind = items.schema["item_id"].dataType.simpleString()
     terms = stored(items.mapInArrow(_terms, TERMS.format(id=kind)), "terms")
     totals = terms.groupBy("item").agg(F.first("size").alias("size")).agg(
@@ -117,12 +123,14 @@ def _weights(items: DataFrame) -> DataFrame:
     gain = F.col("tf") * (K1 + 1) / (F.col("tf") + K1 * (1 - B + B * F.col("size") / F.col("mean_size")))
     weighed = with_df.withColumn("weight", idf * gain)
     own = weighed.groupBy("item").agg(F.sum("weight").alias("own"))
-    return stored(weighed.join(own, "item").select("item", "item_id", "term", (F.col("weight") / F.col("own")).alias("weight")),
+    fits = F.ceil(F.log2(F.ceil(F.greatest("size", F.lit(PASSAGE)) / PASSAGE)))
+    passage = F.pow(F.lit(2), fits).cast("long") * PASSAGE
+    return stored(weighed.join(own, "item").select("item", "item_id", passage.alias("passage"), "term", (F.col("weight") / F.col("own")).alias("weight")),
                   "weights")
 
 
 def indexes(benchmark: DataFrame) -> Iterator[Index]:
-    """Indexes of shards of the items, each of about `POSTINGS_PER_SHARD` postings, one after another on the driver.
+    """Indexes of shards of the items of each length class, each of about `POSTINGS_PER_SHARD` postings, one after another on the driver.
 
     Repeated items count once; items without words are never found.
     """
@@ -131,17 +139,20 @@ def indexes(benchmark: DataFrame) -> Iterator[Index]:
     items = stored(items.select("item", "item_id", "text"), "items")
     weights = _weights(items)
     sequences = items.select("item", "text").mapInArrow(_sequences, SEQUENCES)
-    shards = max(1, -(-weights.count() // POSTINGS_PER_SHARD))
-    for k in range(shards):
-        own = F.pmod(F.col("item"), F.lit(shards)) == k
-        posted = weights.where(own).orderBy("item", "term").toArrow()
-        if posted.num_rows:
-            texts = sequences.where(own).toArrow()
-            yield build_index(posted, dict(zip(texts.column("item").to_pylist(), zip(
-                texts.column("question").to_pylist(), texts.column("answer").to_pylist(), strict=True), strict=True)))
-
-
-def build_index(posted: pa.Table, texts: dict[int, tuple[bytes, bytes]]) -> Index:
+    # One row for each doubling of the length.
+    for passage, count in weights.groupBy("passage").count().orderBy("passage").collect():
+        shards = -(-count // POSTINGS_PER_SHARD)
+        for k in range(shards):
+            own = F.pmod(F.col("item"), F.lit(shards)) == k
+            held = weights.where(own & (F.col("passage") == passage))
+            posted = held.orderBy("item", "term").toArrow()
+            if posted.num_rows:
+                texts = sequences.where(own).join(held.select("item").distinct(), "item", "left_semi").toArrow()
+                yield build_index(posted, dict(zip(texts.column("item").to_pylist(), zip(
+                    texts.column("question").to_pylist(), texts.column("answer").to_pylist(), strict=True), strict=True)), passage)
+
+
+def build_index(posted: pa.Table, texts: dict[int, tuple[bytes, bytes]], passage: int) -> Index:
     """From rows (item, item_id, term, weight) in order of the item."""
     keys, first, number = np.unique(posted.column("item").to_numpy(), return_index=True, return_inverse=True)
     ids = posted.column("item_id").take(pa.array(first)).to_pylist()
@@ -155,7 +166,7 @@ def build_index(posted: pa.Table, texts: dict[int, tuple[bytes, bytes]]) -> Inde
     sides = [[np.frombuffer(texts[int(k)][s], np.uint64) for k in keys] for s in (0, 1)]
     return Index(ids, vocabulary, np.maximum.reduceat(weight, np.searchsorted(term, starts[:-1])),
                  np.searchsorted(term, starts), number, weight, np.searchsorted(term[new], starts), block[new],
-                 np.maximum.reduceat(weight, new), *sides)
+                 np.maximum.reduceat(weight, new), *sides, passage)
 
 
 def _spread(starts: np.ndarray, terms: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -199,14 +210,15 @@ def leaks(column: pa.Array, index: Index) -> list[tuple[int, int, float, float,
     Overlap is the share of the item's word trigrams (all its words, if fewer) that stand in the passage or within a passage's half on either side.
     """
     found: dict[tuple[int, int], tuple[float, float, float]] = {}
+    step = index.passage // 2
     for group in words(column, breaks_at_symbols(), lower=True):
         text = group.text - group.first
         sizes = np.bincount(text, minlength=group.last - group.first)
         starts = np.cumsum(sizes) - sizes
-        halves = -(-sizes // HALF)
+        halves = -(-sizes // step)
         half_starts = np.cumsum(halves) - halves
         owner = np.repeat(np.arange(len(sizes)), halves)
-        half = half_starts[text] + (np.arange(len(text)) - starts[text]) // HALF
+        half = half_starts[text] + (np.arange(len(text)) - starts[text]) // step
         place = np.minimum(np.searchsorted(index.vocabulary, group.hash), len(index.vocabulary) - 1)
         known = index.vocabulary[place] == group.hash
         term, half = place[known], half[known]
@@ -229,8 +241,8 @@ def leaks(column: pa.Array, index: Index) -> list[tuple[int, int, float, float,
         for p, item, score in _retrieved(index, pairs // len(index.vocabulary), pairs % len(index.vocabulary), len(candidates)):
             at = int(candidates[p])
             row = int(owner[at])
-            begin = (at - int(half_starts[row])) * HALF
-            low, high = max(0, begin - HALF), min(int(sizes[row]), begin + PASSAGE + HALF)
+            begin = (at - int(half_starts[row])) * step
+            low, high = max(0, begin - step), min(int(sizes[row]), begin + index.passage + step)
             there = group.hash[starts[row] + low:starts[row] + high]
             new = (score, _share(there, index.questions[item]), _share(there, index.answers[item]))
             key = (group.first + row, item)

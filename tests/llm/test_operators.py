@@ -231,6 +231,27 @@ def test_leaks_in_several_shards(spark, docs, monkeypatch):
     assert sorted(map(tuple, decontamination.contaminated_pairs(rows, benchmark).collect())) == want
 
 
+def test_leaks_of_long_items(spark):
+    """Items of any length copied whole into a longer text, at any place."""
+    rng = random.Random(6)
+    sizes = (20, 64, 65, 130, 200, 300, 300, 700)
+    items = {k: " ".join(f"i{k}w{i}" for i in range(n - 6)) + f". The answer a{k} b{k} c{k} d{k}" for k, n in enumerate(sizes)}
+    items[6] = " ".join(f"i6w{i}" for i in range(12)) + ". " + " ".join(f"a6w{i}" for i in range(288))
+    docs, want = {}, set()
+    for k, item in items.items():
+        for at in (0, 17, 90, 333, 1000):
+            docs[len(docs)] = " ".join([*(f"p{rng.randrange(10 ** 6)}" for _ in range(at)), item, *(f"q{rng.randrange(10 ** 6)}" for _ in range(1000 - at))])
+            want.add((len(docs) - 1, k))
+    rows = spark.createDataFrame(list(docs.items()), "doc_id long, text string")
+    benchmark = spark.createDataFrame(list(items.items()), "item_id long, text string")
+    got = {(r["doc_id"], r["item_id"]): r["score"] for r in decontamination.contaminated_pairs(rows, benchmark).collect()}
+    assert got.keys() == want
+    for passage in (64, 128, 256, 512, 1024):
+        own = plain.bm25_passages(docs, items, passage, passage // 2)
+        assert all(abs(got[d, k] - own[d, k]) < 1e-9 for d, k in want if passage // 2 < max(sizes[k], 33) <= passage)
+    assert decontamination.without_leaks(rows, benchmark).count() == 0
+
+
 def test_packing_round_trip(spark, docs):
     from tokenizers import Tokenizer
 
