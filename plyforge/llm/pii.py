@@ -98,11 +98,24 @@ def base_spans(text: str) -> list[tuple[str, int, int]]:
     return found
 
 
-def _added(text: str) -> Iterator[tuple[str, int, int]]:
-    for m in _IBAN.finditer(text):
-        account = m[0].replace(" ", "")
+def _account_end(found: str) -> int:
+    """Where the longest account number ends that starts `found` and stops at a blank or at its end; 0 if there is none."""
+    end = len(found)
+    while end > 0:
+        account = found[:end].replace(" ", "")
         if 15 <= len(account) <= 34 and mod97(account):
-            yield "iban", *m.span()
+            return end
+        end = found.rfind(" ", 0, end)
+    return 0
+
+
+def _added(text: str) -> Iterator[tuple[str, int, int]]:
+    at = 0
+    while m := _IBAN.search(text, at):
+        end = _account_end(m[0])
+        if end:
+            yield "iban", m.start(), m.start() + end
+        at = m.start() + (end or 1)
     for m in _DIGITS.finditer(text):
         if m.end() - m.start() > 12 and 13 <= len(d := _digits_of(m[0])) <= 15 and luhn(d):
             yield "short_card", *m.span()

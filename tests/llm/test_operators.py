@@ -60,6 +60,13 @@ def test_added_spans():
     pii.spans_of("1" * 200_000 + "a" * 200_000 + "1." * 100_000)
 
 
+def test_account_with_words_behind():
+    for text in ("IBAN DE89 3704 0044 0532 0130 00 BIC X", "A DE89 3704 0044 0532 0130 00 GB82 WEST 1234 5698 7654 32 OK", "AB12 DE89 3704 0044 0532 0130 00"):
+        got = [text[s.start:s.end] for s in pii.spans_of(text) if s.kind == "iban"]
+        assert got == [x for x in ("DE89 3704 0044 0532 0130 00", "GB82 WEST 1234 5698 7654 32") if x in text]
+    pii.spans_of("AB12 " * 50_000)
+
+
 def test_toxicity_held_out(spark):
     from pyspark.sql import functions as F
 
