@@ -86,6 +86,12 @@ def test_toxicity_learns_from_its_fold_only(spark):
     assert all(h == (zlib.crc32(str(i).encode()) % 3 == 1) and 0 <= s <= 1 and p == (s >= 0.7) for i, h, s, p in one)
 
 
+def test_long_texts_teach():
+    batch = pa.RecordBatch.from_pydict({"toxic": [True, True], "draw": [1, 2], "text": ["word " * 7000, "word " * 9000]})
+    (got,) = toxicity._hash_rows([batch])
+    assert [len(x) // 8 for x in got.column("words").to_pylist()] == [7000, 0]
+
+
 def test_viterbi_in_blocks():
     rng = np.random.default_rng(3)
     model = chat.Model(rng.random(6), rng.random((6, 6)), rng.random((6, chat.SYMBOLS)))
