@@ -41,7 +41,7 @@ def test_lines(passed):
 
 
 def test_one_of_each_component(passed):
-    want = plain.components({i: plain.shingles(r["text"]) for i, r in passed[2].items()})
+    want = plain.components({i: plain.shingles(r["text"], corpus_pipeline.NEAR_WORDS) for i, r in passed[2].items()}, corpus_pipeline.NEAR_PERCENT)
     assert passed[3].keys() == {i for i, c in want.items() if i == c}
 
 
