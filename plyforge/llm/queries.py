@@ -5,7 +5,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plyforge.llm import chat, decontamination, line_dedup, metric_search, ngram_join, packing, pii, sharding, simhash, toxicity, warc
+from plyforge.llm import (
+    chat, decontamination, line_dedup, metric_search, ngram_join, packing, pii, repair, sharding, simhash, toxicity, warc,
+)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -64,6 +66,10 @@ def op11_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_documents(table(spark, sf_dir, "documents"))
 
 
+def op12_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair.repair_digests(table(spark, sf_dir, "conversations"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
     "op2_pii": op2_pii,
@@ -76,5 +82,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_decontamination": op9_decontamination,
     "op10_packing": op10_packing,
     "op11_simhash": op11_simhash,
+    "op12_repair": op12_repair,
 }
 ORACLE = {"op5_topk": metric_search.search_sql(), "op6_line_dedup": line_dedup.line_sql(), "op8_warc": warc.WARC_SQL}
