@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from plyforge.llm import (
-    chat, decontamination, line_dedup, metric_search, ngram_join, packing, pii, repair, sharding, simhash, toxicity, warc,
+    chat, decontamination, line_dedup, metric_search, ngram_join, packing, pii, repair, sharding, simhash, toxicity, trie,
+    warc,
 )
 
 
@@ -70,6 +71,10 @@ def op12_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repair.repair_digests(table(spark, sf_dir, "conversations"))
 
 
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return trie.trie_nodes(table(spark, sf_dir, "conversations"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
     "op2_pii": op2_pii,
@@ -83,5 +88,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_packing": op10_packing,
     "op11_simhash": op11_simhash,
     "op12_repair": op12_repair,
+    "op13_prefix_trie": op13_prefix_trie,
 }
 ORACLE = {"op5_topk": metric_search.search_sql(), "op6_line_dedup": line_dedup.line_sql(), "op8_warc": warc.WARC_SQL}
