@@ -18,6 +18,7 @@ from plyforge.plans.dataset import (
 from plyforge.plans.training import budgeted_batches, evaluate_sample, training_batches, with_row_id
 from plyforge.schemas import TRAIN_SEED
 from plyforge.sources import dataset
+from plyforge.sources.keys import KeyTable
 from plyforge.sources.paths import scratch, stored
 from plyforge.sources.sinks import METRICS, append_metrics, require_empty, write_batches, write_records
 from plyforge.streaming.ingest import absent_positions
@@ -128,7 +129,8 @@ def incremental_new_keys(spark, sf):
         return dedup.dedup_first_wins(positions.game_positions(replayed_games(annotated_games(
             games.filter_commented(games.decode_outcome(games.filter_min_elo(df)))))))
 
-    known = unique(source.where(F.col("game_ord") % 5 < 2)).select(*positions.POSITION_KEY)
+    known = KeyTable(spark, scratch(spark, "keys"))
+    known.add("earlier", unique(source.where(F.col("game_ord") % 5 < 2)))
     fresh = stored(unique(source), "fresh")
     return positions.with_fen(absent_positions(fresh, known)).select("fen", "file", "game_ord", "ply", "eval")
 

@@ -18,6 +18,31 @@ def exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(jpath)
 
 
+def read_text(spark: SparkSession, path: str) -> str:
+    fs, jpath = file_system(spark, path)
+    stream = fs.open(jpath)
+    try:
+        return bytes(stream.readAllBytes()).decode()
+    finally:
+        stream.close()
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """Written aside and renamed, so that the file is there whole or not at all."""
+    fs, aside = file_system(spark, f"{path}.part")
+    stream = fs.create(aside, True)
+    stream.write(bytearray(text.encode()))
+    stream.close()
+    _, jpath = file_system(spark, path)
+    fs.delete(jpath, False)
+    fs.rename(aside, jpath)
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    fs, jpath = file_system(spark, path)
+    fs.delete(jpath, True)
+
+
 @cache
 def _local_folder(application: str) -> str:
     return tempfile.mkdtemp(prefix=f"plyforge-{application}-")

@@ -10,31 +10,33 @@ from plyforge.operators.encode import training_records
 from plyforge.operators.positions import POSITION_KEY
 from plyforge.schemas import ARCHIVE_GLOB, DEFAULT_MIN_ELO
 from plyforge.sources.archives import FIRST_TAG, pgn_records
-from plyforge.sources.paths import exists, file_system
+from plyforge.sources.keys import BUCKETS, KeyTable
+from plyforge.sources.paths import delete, exists, file_system, read_text, write_text
 from plyforge.sources.sinks import write_records
 
 
-def absent_positions(candidates: DataFrame, known: DataFrame) -> DataFrame:
-    """Candidates (stored, unique) whose key is not `known`.
+def absent_positions(candidates: DataFrame, known: KeyTable) -> DataFrame:
+    """Candidates (stored, unique) whose key the table does not have yet.
 
-    The known keys grow without bound and the candidates need not. The history is first reduced to the keys of the
-    candidates; Spark broadcasts these if their stored size allows it, and then the history is only scanned.
+    The keys grow without bound and the candidates need not: the table is scanned in place, and what it shares with the
+    candidates is no more than these.
     """
-    return new_keys(candidates, known.join(candidates.select(*POSITION_KEY), POSITION_KEY, "left_semi"))
+    return new_keys(candidates, known.known_among(candidates))
 
 
 class DatasetWriter:
     """Appends groups of unique positions to a dataset, each exactly once; one writer at a time.
 
-    `<output>/_ingest/group=NAME` keeps the group's new positions: other groups are checked against their keys, and
-    a repeated group starts from the same rows. A group's data files are written there too and then moved into
-    the dataset under names of the group, which a manifest lists first; a repeat finishes the moves. Nothing ever lists the
-    files of the whole dataset. `archives` notes the archives of a finished group.
+    `<output>/_ingest/keys` has the keys of all finished groups. `<output>/_ingest/group=NAME` holds a group at work: its new
+    positions, and its data files, which are written there and then moved into the dataset under names of the group, which a manifest lists
+    first; a repeat finishes the moves. Nothing ever lists the files of the whole dataset. Of a finished group the manifest, its
+    rejects and the names of its archives stay.
     """
 
-    def __init__(self, spark: SparkSession, output: str, debug_fen: bool = False):
+    def __init__(self, spark: SparkSession, output: str, debug_fen: bool = False, buckets: int = BUCKETS):
         self.spark, self.output, self.debug_fen = spark, output.rstrip("/"), debug_fen
         self.state = f"{self.output}/_ingest"
+        self.keys = KeyTable(spark, f"{self.state}/keys", buckets)
 
     def append(self, group: str, positions: DataFrame, limit: int | None = None, archives: list[str] | None = None) -> int:
         """Adds the positions that are new, at most `limit`; returns how many."""
@@ -44,36 +46,35 @@ class DatasetWriter:
         read = self.spark.read.schema(positions.schema)
         if not exists(self.spark, done):
             if not exists(self.spark, manifest):
-                known = self._finished_groups()
+                known = bool(self.keys.parts())
                 if not known and limit is None:
                     positions.write.mode("overwrite").parquet(kept)
                 else:
                     positions.write.mode("overwrite").parquet(found)
                     fresh = read.parquet(found)
                     if known:
-                        fresh = absent_positions(fresh, read.parquet(*known))
+                        fresh = absent_positions(fresh, self.keys)
                     if limit is not None:
                         fresh = cap_positions(fresh, limit)
                     fresh.write.mode("overwrite").parquet(kept)
-                self._delete(data)
+                delete(self.spark, data)
                 write_records(training_records(read.parquet(kept), self.debug_fen), data)
-                self._write_text(manifest, json.dumps(self._planned_moves(data, group)))
-            for source, target in json.loads(self._read_text(manifest)):
+                planned = {"rows": read.parquet(kept).count(), "moves": self._planned_moves(data, group)}
+                write_text(self.spark, manifest, json.dumps(planned))
+            for source, target in json.loads(read_text(self.spark, manifest))["moves"]:
                 self._move(source, target)
-            self._write_text(f"{folder}/archives.json", json.dumps(archives or []))
-            self._write_text(done, "")
-            self._delete(found)
-            self._delete(data)
-        return read.parquet(kept).count()
+            if exists(self.spark, kept):
+                self.keys.add(group, read.parquet(kept))
+            write_text(self.spark, f"{folder}/archives.json", json.dumps(archives or []))
+            write_text(self.spark, done, "")
+            for path in (found, data, kept):
+                delete(self.spark, path)
+        return json.loads(read_text(self.spark, manifest))["rows"]
 
     def read_archives(self) -> list[str]:
         """Names of the archives of finished groups; a folder of archives is short."""
         fs, pattern = file_system(self.spark, f"{self.state}/group=*/archives.json")
-        return sorted({name for s in fs.globStatus(pattern) or [] for name in json.loads(self._read_text(s.getPath().toString()))})
-
-    def _finished_groups(self) -> list[str]:
-        fs, pattern = file_system(self.spark, f"{self.state}/group=*/done")
-        return [f"{status.getPath().getParent().toString()}/positions" for status in fs.globStatus(pattern) or []]
+        return sorted({name for s in fs.globStatus(pattern) or [] for name in json.loads(read_text(self.spark, s.getPath().toString()))})
 
     def _planned_moves(self, data: str, group: str) -> list[tuple[str, str]]:
         fs, pattern = file_system(self.spark, f"{data}/setType=*/*.parquet")
@@ -88,28 +89,6 @@ class DatasetWriter:
             if not fs.rename(there, goal):
                 raise OSError(f"cannot move {source} to {target}")
 
-    def _read_text(self, path: str) -> str:
-        fs, jpath = file_system(self.spark, path)
-        stream = fs.open(jpath)
-        try:
-            return bytes(stream.readAllBytes()).decode()
-        finally:
-            stream.close()
-
-    def _write_text(self, path: str, text: str) -> None:
-        """Written aside and renamed, so that the file is there whole or not at all."""
-        fs, aside = file_system(self.spark, f"{path}.part")
-        stream = fs.create(aside, True)
-        stream.write(bytearray(text.encode()))
-        stream.close()
-        _, jpath = file_system(self.spark, path)
-        fs.delete(jpath, False)
-        fs.rename(aside, jpath)
-
-    def _delete(self, path: str) -> None:
-        fs, jpath = file_system(self.spark, path)
-        fs.delete(jpath, True)
-
 
 def ingest_new_archives(
     spark: SparkSession, archives: str, output: str, min_elo: int = DEFAULT_MIN_ELO, debug_fen: bool = False,

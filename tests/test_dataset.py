@@ -17,6 +17,8 @@ from plyforge.plans.dataset import build_dataset, qualifying_games, unique_posit
 from plyforge.sources import dataset
 from plyforge.sources.archives import list_archives, pgn_records, read_games, scan_archives
 from plyforge.sources.sinks import append_metrics, require_empty
+from plyforge.sources.keys import KeyTable
+from plyforge.sources.paths import stored
 from plyforge.streaming import ingest
 from tests.brute_chess import Position
 from tests.test_replay_kernel import random_game
@@ -182,12 +184,69 @@ def test_incremental_ingest(spark, games, tmp_path):
         assert sorted(got) == sorted(expected([("x", done)]))
 
 
-def test_known_positions_are_absent(spark, folder):
-    found = unique_positions(scan_archives(spark, folder)).cache()
-    known = found.where("file = 'a.pgn.zst'")
+def test_known_positions_are_absent(spark, folder, tmp_path):
+    found = stored(unique_positions(scan_archives(spark, folder)), "found")
+    known = KeyTable(spark, str(tmp_path / "keys"))
+    assert ingest.absent_positions(found, known).count() == found.count()
+    known.add("a", found.where("file = 'a.pgn.zst'"))
     assert ingest.absent_positions(found, known).count() == found.where("file <> 'a.pgn.zst'").count()
 
 
+def some_keys(spark, first, last):
+    board = F.translate(F.concat(F.md5(F.col("id").cast("string")), F.md5(F.concat(F.lit("b"), F.col("id")))), "0123456789abcdef", "....PNBRQKpnbrqk")
+    return spark.range(first, last).select(board.alias("board"), (F.col("id") % 2 == 0).alias("white_to_move"), F.lit("-").alias("castling"),
+                                           F.lit("-").alias("en_passant"))
+
+
+def test_stored_keys_are_not_exchanged(spark, tmp_path):
+    known = KeyTable(spark, str(tmp_path / "keys"), buckets=5)
+    known.add("1", some_keys(spark, 0, 3000))
+    known.add("2", some_keys(spark, 3000, 4000))
+    candidates = stored(some_keys(spark, 3500, 6000), "candidates")
+    got = known.known_among(candidates)
+    assert got.count() == 500
+    plan = got._jdf.queryExecution().sparkPlan().toString(), got._jdf.queryExecution().executedPlan().toString()
+    tree = plan[1].split("== Initial Plan ==")[-1]
+    assert tree.count("Exchange") == 1 and "ShuffledHashJoin" in tree and "Bucketed: true" in tree and "Sort" not in tree
+    scan, moved = tree.index("Bucketed: true"), tree.index("Exchange")
+    assert scan < moved  # the exchange lies above the candidates, the second child
+
+
+def test_bloom_filters_leave_out_row_groups(spark, tmp_path):
+    known = KeyTable(spark, str(tmp_path / "keys"), buckets=2, row_group_bytes=65_536)
+    known.add("1", some_keys(spark, 0, 40_000))
+    candidates = stored(some_keys(spark, 39_990, 40_003), "few")
+    rows = {}
+    for few in (0, 256):
+        got = known.known_among(candidates, few)
+        assert got.count() == 10
+        spark.conf.set("spark.sql.adaptive.enabled", "false")
+        try:
+            plan = known.known_among(candidates, few)
+            execution = plan._jdf.queryExecution()
+            execution.toRdd().count()
+            leaves = execution.executedPlan().collectLeaves()
+            scan = next(leaves.apply(i) for i in range(leaves.size()) if "Bucketed" in leaves.apply(i).toString())
+            rows[few] = scan.metrics().apply("numOutputRows").value()
+        finally:
+            spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert rows[0] == 40_000 and rows[256] < 20_000
+
+
+def test_parts_of_the_key_table_are_merged(spark, tmp_path):
+    path = str(tmp_path / "keys")
+    known = KeyTable(spark, path, buckets=3)
+    for i in range(10):
+        known.add(f"g{i}", some_keys(spark, i * 100, i * 100 + 100))
+        known.add(f"g{i}", some_keys(spark, 0, 5))  # a repeated group
+    assert sorted(known.parts().values()) == [0, 0, 1]
+    assert known.keys().count() == known.keys().distinct().count() == 1000
+    assert len([d for d in os.listdir(path) if d.startswith("part=")]) == 3
+    spark.sql(f"DROP TABLE {known.name}")  # as in a new session
+    again = KeyTable(spark, path)
+    assert again.buckets == 3 and again.keys().count() == 1000
+
+
 def test_ingest_after_a_build_reads_only_new_archives(spark, folder, games, tmp_path, monkeypatch):
     inbox, out = tmp_path / "in", str(tmp_path / "out")
     shutil.copytree(folder, inbox)
@@ -244,7 +303,7 @@ def test_a_repeated_group_adds_nothing_and_a_broken_one_is_taken_back(spark, fol
     os.remove(f"{out}/_ingest/group=2/done")  # as if the job died right after its append
     moved = f"{out}/setType=train/2-000000.parquet"
     if os.path.exists(moved):  # or in the middle of it
-        source = next(s for s, t in json.load(open(f"{out}/_ingest/group=2/manifest.json")) if t.endswith("train/2-000000.parquet"))
+        source = next(s for s, t in json.load(open(f"{out}/_ingest/group=2/manifest.json"))["moves"] if t.endswith("train/2-000000.parquet"))
         os.makedirs(os.path.dirname(source.removeprefix("file:")), exist_ok=True)
         os.rename(moved, source.removeprefix("file:"))
     writer.append("2", second)
