@@ -64,21 +64,21 @@ class KeyTable:
             SELECT h, {', '.join(POSITION_KEY)} FROM {self.name}_rows""")
         self.spark.catalog.dropTempView(f"{self.name}_rows")
 
-    def _commit(self, parts: dict[str, int]) -> None:
-        write_text(self.spark, self.state, json.dumps({"buckets": self.buckets, "parts": parts}))
+    def _commit(self, parts: dict[str, int], last: str) -> None:
+        write_text(self.spark, self.state, json.dumps({"buckets": self.buckets, "parts": parts, "last": last}))
 
     def add(self, part: str, positions: DataFrame) -> None:
-        """Adds the keys of a group; a repeated group replaces its own."""
-        live = self.parts()
-        if part in live:
-            return
-        self._write(positions, part)
-        self._commit({**live, part: 0})
+        """Adds the keys of a group, by one writer at a time; the last group may be repeated, whether it has been merged or not."""
+        state = self._state() or {"parts": {}, "last": None}
+        if part != state["last"]:
+            self._write(positions, part)
+            self._commit({**state["parts"], part: 0}, part)
         self.compact()
 
     def compact(self) -> None:
         """Merges full levels. The list of parts is replaced before the merged ones go, so a failure leaves at most unlisted files."""
-        live = self.parts()
+        state = self._state() or {"parts": {}}
+        live = state["parts"]
         for level in sorted(set(live.values())):
             own = [p for p, at in live.items() if at == level]
             if len(own) >= FAN:
@@ -86,7 +86,7 @@ class KeyTable:
                 # Spark does not write to a table that it reads, so the folders are read; this moves a key once for each level.
                 self._write(self.spark.read.parquet(*[f"{self.path}/part={p}" for p in own]), merged)
                 live = {**{p: at for p, at in live.items() if p not in own}, merged: level + 1}
-                self._commit(live)
+                self._commit(live, state["last"])
                 for p in own:
                     self.spark.sql(f"ALTER TABLE {self.name} DROP IF EXISTS PARTITION (part = '{p}')")
                     delete(self.spark, f"{self.path}/part={p}")
