@@ -10,10 +10,11 @@ from checks import inputs
 from plyforge.functions import boards as B
 from plyforge.functions.evals import extract_eval
 from plyforge.operators import dedup, encode, games, loader, metrics, positions
+from plyforge.operators.progress import STAGES, StageCounts
 from plyforge.operators.replay import legal_games, replay_moves
 from plyforge.operators.scoring import score_boards
 from plyforge.plans.dataset import (
-    annotated_games, build_dataset, malformed_games, replayed_games,
+    annotated_games, build_dataset, malformed_games, qualified, replayed_games, routed_positions,
 )
 from plyforge.plans.training import budgeted_batches, evaluate_sample, training_batches, with_row_id
 from plyforge.schemas import TRAIN_SEED
@@ -74,14 +75,14 @@ def game_positions(spark, sf):
 
 
 def stage_counts(spark, sf):
-    source = inputs.games(spark, sf)
-    counted = metrics.game_stage_counts(games.parse_movetext(source))
-    found = positions.game_positions(replayed_games(annotated_games(games.filter_commented(games.decode_outcome(
-        games.filter_min_elo(source)))))).select(*positions.POSITION_KEY)
-    totals = found.groupBy(*positions.POSITION_KEY).agg(F.count("*").alias("n")).agg(
-        F.sum("n").alias("positions"), F.count("*").alias("unique_positions"))
-    return counted.withColumn("_t", totals.select(F.struct("positions", "unique_positions")).scalar()).select(
-        *counted.columns, "_t.*")
+    """What is observed on the way from games to unique positions, in one pass."""
+    counts = StageCounts()
+    annotated = counts.at("annotated", annotated_games(qualified(inputs.games(spark, sf), counts=counts)))
+    found = counts.at("positions", positions.game_positions(replayed_games(annotated)))
+    unique = counts.at("unique_positions", found.groupBy(*positions.POSITION_KEY).agg(F.count("*")))
+    unique.write.format("noop").mode("overwrite").save()
+    got = counts.counts()
+    return spark.createDataFrame([tuple(got[s] for s in STAGES)], ", ".join(f"{s} long" for s in STAGES))
 
 
 def board_tokens(spark, sf, layer: Callable[[DataFrame], Column]) -> DataFrame:
@@ -225,7 +226,8 @@ def built_dataset(spark, sf):
 
 
 def malformed(spark, sf):
-    return malformed_games(inputs.pgn_records(spark, sf, broken=True)).select("file", "game_ord", "failed_ply")
+    routed = routed_positions(inputs.pgn_records(spark, sf, broken=True), mode="dropmalformed")
+    return malformed_games(stored(routed, "routed"))
 
 
 def build_stats(spark, sf):

@@ -33,12 +33,12 @@ def file_order(files: DataFrame, seed: int = TRAIN_SEED) -> DataFrame:
 def epoch_plan(
     files: DataFrame, epochs: int, shards: int = LOADER_SHARDS, seed: int = TRAIN_SEED
 ) -> DataFrame:
-    """The shuffled file list repeated `epochs` times and dealt out to `shards`, one row per reading of a file."""
+    """The shuffled file list repeated `epochs` times and dealt out to `shards`, one row per reading of a file; none for no epochs."""
     ordered = file_order(files, seed)
     total = files.agg(F.count("*")).scalar()
     return (
         ordered
-        .withColumn("epoch", F.explode(F.sequence(F.lit(0), F.lit(epochs - 1))))
+        .select("*", F.posexplode(F.array_repeat(F.lit(0), epochs)).alias("epoch", "_")).drop("_")
         .withColumn("pos", F.col("epoch") * total + F.col("ord"))
         .withColumn("shard", (F.col("pos") % shards).cast("int"))
     )

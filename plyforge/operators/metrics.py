@@ -7,11 +7,10 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from plyforge.functions.evals import has_eval, sigmoid, sigmoid_cross_entropy
+from plyforge.functions.evals import sigmoid, sigmoid_cross_entropy
 from plyforge.functions.hashing import order_hash
 from plyforge.schemas import (
-    BATCH_ROWS, CLIP_GRAD_NORM, DEFAULT_MIN_ELO, EVAL_EVERY_BOARDS, EVAL_SEED, LOSING_BELOW, SKIP_HALF_MOVES,
-    WINNING_ABOVE,
+    BATCH_ROWS, CLIP_GRAD_NORM, EVAL_EVERY_BOARDS, EVAL_SEED, LOSING_BELOW, WINNING_ABOVE,
 )
 
 
@@ -20,7 +19,7 @@ def count_by_split(records: DataFrame) -> DataFrame:
 
 
 def run_sizing(records: DataFrame, train_boards: int, batch_rows: int = BATCH_ROWS) -> DataFrame:
-    """One row: steps, epochs and evaluation cadence of a run over the train split."""
+    """One row: steps, epochs and evaluation cadence of a run over the train split; without rows there, epochs is null."""
     iterations = train_boards // batch_rows
     if iterations == 0:
         raise ValueError(f"{train_boards} boards are less than one batch of {batch_rows}")
@@ -30,28 +29,13 @@ def run_sizing(records: DataFrame, train_boards: int, batch_rows: int = BATCH_RO
         .select(
             "train_rows",
             F.lit(iterations).cast("bigint").alias("iterations"),
-            F.ceil(F.lit(train_boards) / train).alias("epochs"),
+            F.ceil(F.try_divide(F.lit(train_boards), train)).alias("epochs"),
             F.ceil(train / batch_rows).alias("steps_per_epoch"),
             F.lit(EVAL_EVERY_BOARDS // batch_rows).cast("bigint").alias("validation_freq"),
         )
     )
 
 
-def game_stage_counts(games: DataFrame, min_elo: int = DEFAULT_MIN_ELO) -> DataFrame:
-    """One row: games left after each game-level step, from one pass over parsed games with comments."""
-    rated = F.least(F.coalesce("white_elo", F.lit(0)), F.coalesce("black_elo", F.lit(0))) >= min_elo
-    decided = rated & F.coalesce(F.col("result").isin("1-0", "0-1", "1/2-1/2"), F.lit(False))
-    commented = decided & F.exists("comments", lambda c: c.contains("{"))
-    gated = commented & has_eval(F.try_element_at("comments", F.lit(SKIP_HALF_MOVES + 1)))
-    return games.agg(
-        F.count("*").alias("games"),
-        F.count_if(rated).alias("rated"),
-        F.count_if(decided).alias("decided"),
-        F.count_if(commented).alias("commented"),
-        F.count_if(gated).alias("annotated"),
-    )
-
-
 def eval_metrics(scored: DataFrame, batch_rows: int = BATCH_ROWS, seed: int = EVAL_SEED) -> DataFrame:
     """Loss and winning / losing share over the full batches of a scored sample (`row_id, logit, label`).
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from plyforge.functions import boards
 from plyforge.functions.evals import LEAST_INT, extract_eval
-from plyforge.schemas import MIN_PIECES, SKIP_HALF_MOVES
+from plyforge.schemas import MIN_PIECES, PLY, SKIP_HALF_MOVES
 
 POSITION_KEY = ["board", "white_to_move", "castling", "en_passant"]
 POSITION_ORDER = ["file", "game_ord", "ply"]
@@ -67,19 +67,24 @@ def explode_plies(games: DataFrame) -> DataFrame:
 def game_positions(games: DataFrame, skip: int = SKIP_HALF_MOVES, min_pieces: int = MIN_PIECES) -> DataFrame:
     """Evaluated positions of replayed games: before the first stop, after the opening.
 
-    The stop is looked for in the array, once per game; the rows are cut after the explode, in generated code.
+    The stop is looked for in the array, once per game; the rows are cut after the explode, in generated code. Games that still
+    have their `failed_ply` keep it, and one that failed becomes one row without a board, whose ply is the half-move that failed.
     """
     stop = first_stop(F.col("plies"), lambda p: too_few_pieces(p, min_pieces) | terminal(p))
-    rows = explode_plies(games.withColumn("_stop", stop))
-    return (
-        rows
-        .where((F.col("ply") > skip) & F.col("eval").isNotNull())
-        .where(F.col("_stop").isNull() | (F.col("ply") < F.col("_stop")))
-        .select(
-            "game_id", *POSITION_ORDER, *POSITION_KEY, "halfmove_clock",
-            "eval", "min_elo", "white_outcome", "set_type",
-        )
-    )
+    routed = "failed_ply" in games.columns
+    games = games.withColumn("_stop", stop)
+    wanted = (F.col("ply") > skip) & F.col("eval").isNotNull() & (F.col("_stop").isNull() | (F.col("ply") < F.col("_stop")))
+    if routed:
+        failed = F.col("failed_ply") > 0
+        nothing = {"ply": F.col("failed_ply"), "board": F.lit(""), "castling": F.lit(""), "en_passant": F.lit(""), "stuck": F.lit(False)}
+        reject = F.struct(*[nothing.get(f.name, F.lit(0)).cast(f.dataType).alias(f.name) for f in PLY.fields])
+        games = games.withColumns({
+            "plies": F.when(failed, F.array(reject)).otherwise(F.col("plies")),
+            "evals": F.when(failed, F.array(F.lit(0))).otherwise(F.col("evals"))})
+        wanted = wanted | failed
+    return explode_plies(games).where(wanted).select(
+        "game_id", *POSITION_ORDER, *POSITION_KEY, "halfmove_clock",
+        "eval", "min_elo", "white_outcome", "set_type", *(["failed_ply"] if routed else []))
 
 
 def with_fen(positions: DataFrame) -> DataFrame:

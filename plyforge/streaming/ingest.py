@@ -1,19 +1,24 @@
 """Adding archives to a dataset: positions that it already holds are not added again."""
 
 import json
+import logging
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming.listener import StreamingQueryListener
 
 from plyforge.operators.dedup import cap_positions, new_keys
 from plyforge.operators.encode import training_records
-from plyforge.operators.positions import POSITION_KEY
+from plyforge.operators.progress import StageCounts
 from plyforge.schemas import ARCHIVE_GLOB, DEFAULT_MIN_ELO
 from plyforge.sources.archives import FIRST_TAG, pgn_records
 from plyforge.sources.keys import BUCKETS, KeyTable
 from plyforge.sources.paths import delete, exists, file_system, read_text, write_text
 from plyforge.sources.sinks import write_records
 
+log = logging.getLogger(__name__)
+
 
 def absent_positions(candidates: DataFrame, known: KeyTable) -> DataFrame:
     """Candidates (stored, unique) whose key the table does not have yet.
@@ -38,25 +43,45 @@ class DatasetWriter:
         self.state = f"{self.output}/_ingest"
         self.keys = KeyTable(spark, f"{self.state}/keys", buckets)
 
-    def append(self, group: str, positions: DataFrame, limit: int | None = None, archives: list[str] | None = None) -> int:
-        """Adds the positions that are new, at most `limit`; returns how many."""
+    def append(
+        self, group: str, routed: DataFrame, limit: int | None = None, archives: list[str] | None = None, counts: StageCounts | None = None,
+    ) -> int:
+        """Adds the positions that are new, at most `limit`, and lists the rejected games; returns how many positions.
+
+        Both are written by one pass over `routed`. `<group>/rejects` has the file, the game's ordinal and the half-move that failed,
+        `<group>/counts.json` what `counts` has observed.
+        """
         folder = f"{self.state}/group={group}"
         kept, found, done = f"{folder}/positions", f"{folder}/found", f"{folder}/done"
         data, manifest = f"{folder}/data", f"{folder}/manifest.json"
-        read = self.spark.read.schema(positions.schema)
+        schema = routed.drop("rejected").schema
+        read = self.spark.read.schema(schema)
+
+        def part(rejected: str) -> DataFrame | None:
+            path = f"{found}/rejected={rejected}"
+            return read.parquet(path) if exists(self.spark, path) else None
+
         if not exists(self.spark, done):
             if not exists(self.spark, manifest):
-                known = bool(self.keys.parts())
-                if not known and limit is None:
-                    positions.write.mode("overwrite").parquet(kept)
-                else:
-                    positions.write.mode("overwrite").parquet(found)
-                    fresh = read.parquet(found)
-                    if known:
-                        fresh = absent_positions(fresh, self.keys)
-                    if limit is not None:
-                        fresh = cap_positions(fresh, limit)
-                    fresh.write.mode("overwrite").parquet(kept)
+                if "rejected" not in routed.columns:
+                    routed = routed.withColumn("rejected", F.lit(False))
+                routed.write.mode("overwrite").partitionBy("rejected").parquet(found)
+                rejects = part("true")
+                figures = counts.counts() if counts else {}
+                if rejects is not None:
+                    listed = rejects.select("file", "game_ord", F.col("ply").alias("failed_ply"))
+                    listed.write.mode("overwrite").parquet(f"{folder}/rejects")
+                    figures["malformed_games"] = rejects.count()
+                write_text(self.spark, f"{folder}/counts.json", json.dumps(figures))
+                fresh = part("false")
+                if fresh is None:
+                    fresh = self.spark.createDataFrame([], schema)
+                elif self.keys.parts():
+                    fresh = absent_positions(fresh, self.keys)
+                if limit is not None:
+                    fresh = cap_positions(fresh, limit)
+                # Rows that are found and not new, or beyond the limit, must not come back in a repeat.
+                fresh.write.mode("overwrite").parquet(kept)
                 delete(self.spark, data)
                 write_records(training_records(read.parquet(kept), self.debug_fen), data)
                 planned = {"rows": read.parquet(kept).count(), "moves": self._planned_moves(data, group)}
@@ -71,6 +96,11 @@ class DatasetWriter:
                 delete(self.spark, path)
         return json.loads(read_text(self.spark, manifest))["rows"]
 
+    def group_counts(self, group: str) -> dict[str, int]:
+        """What was counted while a group was read; empty if there is no such group."""
+        path = f"{self.state}/group={group}/counts.json"
+        return json.loads(read_text(self.spark, path)) if exists(self.spark, path) else {}
+
     def read_archives(self) -> list[str]:
         """Names of the archives of finished groups; a folder of archives is short."""
         fs, pattern = file_system(self.spark, f"{self.state}/group=*/archives.json")
@@ -90,16 +120,39 @@ class DatasetWriter:
                 raise OSError(f"cannot move {source} to {target}")
 
 
+class IngestProgress(StreamingQueryListener):
+    """Logs every micro-batch of one ingest with its counts, and takes itself off when the query ends."""
+
+    def __init__(self, writer: DatasetWriter):
+        self.writer, self.query, self.seen = writer, f"ingest-{uuid.uuid4().hex}", []
+
+    def onQueryStarted(self, event) -> None:
+        if event.name == self.query:
+            self.id = event.id
+
+    def onQueryProgress(self, event) -> None:
+        progress = event.progress
+        if progress.name == self.query:
+            counts = self.writer.group_counts(f"stream-{progress.batchId}")
+            self.seen.append((progress.batchId, progress.numInputRows, counts))
+            log.info("batch %d: %d records, %s, %d ms", progress.batchId, progress.numInputRows, counts, progress.batchDuration)
+
+    def onQueryTerminated(self, event) -> None:
+        if event.id == getattr(self, "id", None):
+            self.writer.spark.streams.removeListener(self)
+
+
 def ingest_new_archives(
     spark: SparkSession, archives: str, output: str, min_elo: int = DEFAULT_MIN_ELO, debug_fen: bool = False,
     mode: str = "failfast", pattern: str = ARCHIVE_GLOB,
 ):
     """Streams archives that arrived since the last run into the dataset, then stops.
 
-    The file source remembers what it has read, and archives that a build has read are left out by name; every micro-batch goes
+    With `mode="dropmalformed"` malformed games are listed beside the group. While it runs, the progress of each micro-batch is logged
+    with what was counted in it. The file source remembers what it has read, and archives that a build has read are left out by name; every micro-batch goes
     through the batch job. Returns the query.
     """
-    from plyforge.plans.dataset import unique_positions
+    from plyforge.plans.dataset import routed_positions
 
     writer = DatasetWriter(spark, output, debug_fen)
     text = (
@@ -109,10 +162,13 @@ def ingest_new_archives(
     )
 
     def add(batch: DataFrame, batch_id: int) -> None:
-        records = pgn_records(batch, "file_path")
-        writer.append(f"stream-{batch_id}", unique_positions(records, min_elo=min_elo, mode=mode))
+        counts = StageCounts()
+        routed = routed_positions(pgn_records(batch, "file_path"), counts, min_elo=min_elo, mode=mode)
+        writer.append(f"stream-{batch_id}", routed, counts=counts)
 
+    progress = IngestProgress(writer)
+    spark.streams.addListener(progress)
     return (
-        text.writeStream.foreachBatch(add)
+        text.writeStream.foreachBatch(add).queryName(progress.query)
         .option("checkpointLocation", f"{writer.state}/stream").trigger(availableNow=True).start()
     )

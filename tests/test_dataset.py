@@ -4,13 +4,14 @@ import hashlib
 import json
 import os
 import shutil
+import time
 
 import pytest
 import zstandard
 from pyspark.sql import functions as F
 
 from plyforge.operators.dedup import cap_positions, dedup_first_wins
-from plyforge.operators.metrics import count_by_split, dataset_digest
+from plyforge.operators.metrics import count_by_split, dataset_digest, run_sizing
 from plyforge.functions.evals import extract_eval
 from plyforge.operators.positions import to_mover_pov
 from plyforge.plans.dataset import build_dataset, qualifying_games, unique_positions
@@ -276,13 +277,52 @@ def test_malformed_games_are_counted_and_listed(spark, games, tmp_path):
     broken = [*games[1][:12], "Zz9", *games[1][13:]]
     write_archive(inbox / "a.pgn.zst", [pgn(games[0]), pgn(broken), pgn(games[2])])
     stats = build_dataset(spark, str(inbox), out, debug_fen=True, mode="dropmalformed")
-    assert stats["malformed_games"] == 1
+    assert stats["malformed_games"] == 1 and stats["games"] == stats["annotated"] == 3 and stats["positions"] >= stats["unique_positions"]
     rejects = spark.read.parquet(f"{out}/_ingest/group=build-0/rejects").collect()
     assert [(r["file"], r["failed_ply"]) for r in rejects] == [("a.pgn.zst", 13)]
     got = {" ".join(r["fen"].split()[:4]) for r in dataset.scan_records(spark, out).collect()}
     assert got == set(expected([("a.pgn.zst", [games[0], games[2]])]))
 
 
+def test_ingest_lists_malformed_games_as_the_build_does(spark, games, tmp_path):
+    inbox, built, streamed = tmp_path / "in", str(tmp_path / "built"), str(tmp_path / "streamed")
+    inbox.mkdir()
+    for k, name in enumerate("ab"):
+        broken = [*games[k][:12], "Zz9", *games[k][13:]]
+        write_archive(inbox / f"{name}.pgn.zst", [pgn(games[k]), pgn(broken), pgn(games[k + 2])])
+    stats = build_dataset(spark, str(inbox), built, debug_fen=True, mode="dropmalformed", group_bytes=1)
+    assert stats["malformed_games"] == 2 and stats["games"] == 6 and stats["archives"] == 2
+    query = ingest.ingest_new_archives(spark, str(inbox), streamed, debug_fen=True, mode="dropmalformed")
+    query.awaitTermination()
+    assert query.exception() is None
+
+    def rejects(out):
+        return sorted(map(tuple, spark.read.parquet(f"{out}/_ingest/group=*/rejects").select("file", "failed_ply").collect()))
+
+    assert rejects(built) == rejects(streamed) == [("a.pgn.zst", 13), ("b.pgn.zst", 13)]
+    assert dataset.scan_records(spark, built).count() == dataset.scan_records(spark, streamed).count() == stats["unique_positions"]
+    counted = ingest.DatasetWriter(spark, streamed).group_counts("stream-0")
+    assert counted["games"] == 6 and counted["malformed_games"] == 2 and counted["unique_positions"] == stats["unique_positions"]
+
+
+def test_progress_of_an_ingest_is_logged(spark, games, tmp_path, caplog):
+    inbox, out = tmp_path / "in", str(tmp_path / "out")
+    inbox.mkdir()
+    write_archive(inbox / "a.pgn.zst", [pgn(g) for g in games[:4]])
+    with caplog.at_level("INFO", logger="plyforge.streaming.ingest"):
+        ingest.ingest_new_archives(spark, str(inbox), out).awaitTermination()
+        for _ in range(100):
+            if caplog.records:
+                break
+            time.sleep(0.1)
+    assert any("'games': 4" in r.getMessage() for r in caplog.records)
+
+
+def test_run_sizing_without_train_rows(spark):
+    got = run_sizing(spark.createDataFrame([("test",)], "setType string"), 10_000).first()
+    assert got["train_rows"] == 0 and got["epochs"] is None and got["steps_per_epoch"] == 0
+
+
 def test_scores_beyond_an_integer(spark):
     rows = [("[%eval 99999999.00]", True), ("[%eval -99999999.00]", True), ("[%eval -99999999.00]", False), ("[%eval 0.29]", False)]
     got = spark.createDataFrame(rows, "c string, white_to_move boolean").withColumns(

@@ -57,6 +57,12 @@ def test_epochs_repeat_one_file_order(rows):
     assert other != order[:n]
 
 
+def test_no_epochs_are_no_rows(rows):
+    assert L.epoch_plan(L.file_table(rows), 0).count() == 0
+    batches, shortfall = budgeted_batches(rows.where("false"), 10_000, 64, 500, 2)
+    assert batches.count() == 0 and shortfall.count() == 1
+
+
 @pytest.mark.parametrize("bits", [0, 3, 12])
 def test_sliced_rank_is_the_plain_rank(spark, bits):
     df = spark.range(5000).selectExpr("id", "id % 3 as g", "shiftright(abs(xxhash64(id)), 4) as h")
