@@ -4,7 +4,10 @@ from __future__ import annotations
 
 import hashlib
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
+from itertools import groupby
+from operator import itemgetter
 from typing import NamedTuple
 
 import pyarrow as pa
@@ -133,16 +136,33 @@ def spans_of(text: str) -> list[Span]:
     """All spans in order of kind and start. An added span must reach the least score and touch no earlier kind."""
     base = base_spans(text)
     spans = [Span(*s, _score(text, *s)) for s in base]
-    taken = [(a, b) for _, a, b in base]
     if any("0" <= c <= "9" for c in text) if len(text) < 256 else re.search("[0-9]", text):
-        for kind, start, end in _added(text):
-            score = _score(text, kind, start, end)
-            if score >= LEAST_SCORE and not any(start < b and a < end for a, b in taken):
-                spans.append(Span(kind, start, end, score))
-                taken.append((start, end))
+        starts, ends = _apart((a, b) for _, a, b in base)
+        # The spans of one added kind do not touch each other, so each kind is held against the earlier ones as a whole.
+        for _, own in groupby(_added(text), key=itemgetter(0)):
+            fresh = []
+            for kind, start, end in own:
+                before = bisect_left(starts, end)
+                if (not before or ends[before - 1] <= start) and (score := _score(text, kind, start, end)) >= LEAST_SCORE:
+                    fresh.append(Span(kind, start, end, score))
+            spans += fresh
+            starts, ends = _apart([*zip(starts, ends, strict=True), *((s.start, s.end) for s in fresh)])
     return spans
 
 
+def _apart(spans) -> tuple[list[int], list[int]]:
+    """Starts and ends of the stretches that the spans cover, in order; those that overlap become one."""
+    starts: list[int] = []
+    ends: list[int] = []
+    for a, b in sorted(spans):
+        if ends and a < ends[-1]:
+            ends[-1] = max(ends[-1], b)
+        else:
+            starts.append(a)
+            ends.append(b)
+    return starts, ends
+
+
 def joined(spans: list) -> str:
     return ",".join(f"{s[0]}:{s[1]}:{s[2]}" for s in spans)
 
