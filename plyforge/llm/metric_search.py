@@ -28,9 +28,15 @@ TREE_ROWS = 32_768
 QUERIES_PER_BLOCK = 100_000
 EXACT = 2.0 ** 52
 
+#: No two vectors of smaller squared norm have an inner product beyond 64 bits.
+LARGEST = 2.0 ** 62
+
 
 def _ints(vectors: DataFrame) -> DataFrame:
-    """(vec_id, dim, vec, norm2): the scaled integer vector as bytes and its squared norm; unusable vectors are left out."""
+    """(vec_id, dim, vec, norm2): the scaled integer vector as bytes and its squared norm; unusable vectors are left out.
+
+    So are those whose squared norm reaches `LARGEST`: below it no inner product exceeds 64 bits, beyond it a score may not be a long.
+    """
     def scale(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             at, dims, out, norms = [], [], [], []
@@ -40,7 +46,11 @@ def _ints(vectors: DataFrame) -> DataFrame:
                 x = np.asarray(value, np.float64)
                 if not np.isfinite(x).all():
                     continue
-                whole = np.floor(SCALE * x).astype(np.int64)
+                with np.errstate(over="ignore"):
+                    scaled = np.floor(SCALE * x)
+                    if not (scaled ** 2).sum() < LARGEST:
+                        continue
+                whole = scaled.astype(np.int64)
                 at.append(i)
                 dims.append(len(whole))
                 out.append(whole.tobytes())
