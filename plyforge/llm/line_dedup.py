@@ -5,17 +5,22 @@ from pyspark.sql import functions as F
 
 from plyforge.sources.paths import stored
 
-RATIO, LEAST_PAGES = 0.1, 5
+#: A line is boilerplate on more than this share of its host's pages, a long one on a smaller share already: it hardly repeats by chance.
+#: On fewer than `LEAST_PAGES` pages nothing is, so a host of four pages or fewer is left as it is.
+RATIO, LONG_RATIO, LONG, LEAST_PAGES = 0.01, 0.001, 200, 5
 
 
 def _line_key(line: Column) -> Column:
-    """128 bits that stand for a line without blanks at its ends."""
+    """128 bits that stand for a line without blanks at its ends, and whether it is long."""
     bare = F.trim(line)
-    return F.struct(F.xxhash64(bare).alias("a"), F.xxhash64(F.lit(1), bare).alias("b"))
+    return F.struct(F.xxhash64(bare).alias("a"), F.xxhash64(F.lit(1), bare).alias("b"), (F.length(bare) >= LONG).alias("long"))
 
 
-def boilerplate(docs: DataFrame, host: str = "source", ratio: float = RATIO, least_pages: int = LEAST_PAGES) -> DataFrame:
-    """host and the keys of its boilerplate lines: those in more than `ratio` of its pages and in at least `least_pages`.
+def boilerplate(
+    docs: DataFrame, host: str = "source", ratio: float = RATIO, long_ratio: float = LONG_RATIO, least_pages: int = LEAST_PAGES,
+) -> DataFrame:
+    """host and the keys of its boilerplate lines: those in more than `ratio` of its pages (`long_ratio` for lines of `LONG` characters or
+    more) and in at least `least_pages`.
 
     A line counts once per page. A host has at most (mean lines of a page) / ratio such lines, however many pages it has,
     so one array per host is small. Only 128-bit keys are shuffled, and they are counted before that, so a host with a third of
@@ -26,11 +31,14 @@ def boilerplate(docs: DataFrame, host: str = "source", ratio: float = RATIO, lea
     lines = F.filter(F.split(F.col("text"), "\n"), lambda x: F.trim(x) != "")
     keys = docs.select(site, F.explode(F.array_distinct(F.transform(lines, _line_key))).alias("_key"))
     counted = keys.groupBy("_host", "_key").agg(F.count("*").alias("_n")).where(F.col("_n") >= least_pages)
-    over = counted.join(pages, "_host").where(F.col("_n") > F.col("_pages") * ratio)
+    over = counted.join(pages, "_host").where(
+        F.col("_n") > F.col("_pages") * F.when(F.col("_key.long"), long_ratio).otherwise(ratio))
     return over.groupBy("_host").agg(F.collect_list("_key").alias("_boilerplate"))
 
 
-def drop_boilerplate(docs: DataFrame, host: str = "source", ratio: float = RATIO, least_pages: int = LEAST_PAGES) -> DataFrame:
+def drop_boilerplate(
+    docs: DataFrame, host: str = "source", ratio: float = RATIO, long_ratio: float = LONG_RATIO, least_pages: int = LEAST_PAGES,
+) -> DataFrame:
     """Every row, with boilerplate lines taken out of `text`; adds lines_total and lines_dropped.
 
     A null text stays null and has no lines, a null host is a host of its own (the empty one), blank lines stay, and a page of
@@ -41,7 +49,7 @@ def drop_boilerplate(docs: DataFrame, host: str = "source", ratio: float = RATIO
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col("text").cast("string").alias("text"),
                        F.coalesce(F.col(host).cast("string"), F.lit("")).alias("_host"))
     # Stored, so that its size is known: while it is small, Spark does not shuffle the pages; else it splits large hosts.
-    joined = rows.join(stored(boilerplate(docs, host, ratio, least_pages), "boilerplate"), "_host", "left").withColumn("lines", F.split("text", "\n"))
+    joined = rows.join(stored(boilerplate(docs, host, ratio, long_ratio, least_pages), "boilerplate"), "_host", "left").withColumn("lines", F.split("text", "\n"))
     kept = F.when(F.col("_boilerplate").isNull(), F.col("lines")).otherwise(
         F.filter("lines", lambda x: ~F.array_contains(F.col("_boilerplate"), _line_key(x)) | (F.trim(x) == "")))
     joined = joined.withColumn("kept", kept)
@@ -51,7 +59,7 @@ def drop_boilerplate(docs: DataFrame, host: str = "source", ratio: float = RATIO
                          sizes[0].alias("lines_total"), sizes[1].alias("lines_dropped"))
 
 
-def line_sql(ratio: float = RATIO, least_pages: int = LEAST_PAGES) -> str:
+def line_sql(ratio: float = RATIO, long_ratio: float = LONG_RATIO, least_pages: int = LEAST_PAGES) -> str:
     """DuckDB SQL for the query."""
     return f"""
 with pages as (
@@ -61,7 +69,8 @@ line as (select distinct host, r, trim(l) as l from (select host, r, unnest(line
 bad as (
   select host, l from line group by host, l
   having count(*) >= {least_pages}
-     and count(*) > (select count(*) from pages p where p.host = line.host) * {ratio}),
+     and count(*) > (select count(*) from pages p where p.host = line.host)
+       * case when length(l) >= {LONG} then {long_ratio} else {ratio} end),
 boiler as (select host, list(l) as bad from bad group by host),
 kept as (
   select doc_id, source, text, lines,
