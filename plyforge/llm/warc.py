@@ -13,7 +13,7 @@ import uuid
 import zlib
 from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
-from itertools import groupby
+from itertools import chain, groupby
 from typing import NamedTuple
 from urllib.parse import urlsplit
 
@@ -22,12 +22,14 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plyforge.sources.paths import scratch, stored
+from plyforge.sources.paths import file_system, scratch, stored
 
 ARCHIVE_BYTES = 64 << 20
 BLOCK_ENTRIES = 1024
 MOST_DIRECTORY = 65_536
 READ_BYTES = 8 << 20
+#: What one task reads back.
+TASK_BYTES = 16 << 20
 LEVEL = 3
 DATE = "2024-01-01T00:00:00Z"
 
@@ -129,7 +131,8 @@ def write_archives(pages: DataFrame, folder: str) -> DataFrame:
         out, name, size = None, "", 0
         for batch in batches:
             keys, files, offsets, lengths = [], [], [], []
-            for row in batch.to_pylist():
+            # A few rows at a time become Python values, so that payloads are not held several times over.
+            for row in chain.from_iterable(batch.slice(i, 32).to_pylist() for i in range(0, batch.num_rows, 32)):
                 if out is None or size > ARCHIVE_BYTES:
                     if out is not None:
                         out.close()
@@ -248,10 +251,13 @@ def lookup(index: CaptureIndex, urls: DataFrame, url: str = "url") -> DataFrame:
 def read_captures(captures: DataFrame, folder: str, id_type: str) -> DataFrame:
     """Reads records by range: page_id, payload_bytes, payload_digest, record_type, refers_to, payload.
 
-    Ranges of a file are read in order, and neighbours together up to `READ_BYTES`. The payload of a response must have the digest
+    Ranges of a file are read in order, and neighbours together up to `READ_BYTES`. The number of tasks follows from the bytes to be
+    read, as the table of captures is small beside them. The payload of a response must have the digest
     that its header names.
     """
-    spread = captures.repartition("file", F.floor(F.col("offset") / (4 * READ_BYTES))).sortWithinPartitions("file", "offset")
+    captures = stored(captures, "wanted")
+    parts = max(1, -(-(captures.agg(F.sum("length")).first()[0] or 0) // TASK_BYTES))
+    spread = captures.repartition(int(parts), "file", F.floor(F.col("offset") / (4 * READ_BYTES))).sortWithinPartitions("file", "offset")
     schema = (f"page_id {id_type}, payload_bytes long, payload_digest string, record_type string, refers_to {id_type}, "
               "payload binary")
 
@@ -300,11 +306,25 @@ def _joined_reads(file, ranges: list[tuple[int, int]]) -> Iterator[tuple[int, by
 
 def archive_pages(spark: SparkSession, pages: DataFrame) -> tuple[CaptureIndex, str]:
     """Writes the pages to archives in a new shared folder and indexes them."""
-    folder = scratch(spark, "warc")
-    folder = folder if "://" in folder else f"file://{folder}" if folder.startswith("/") else folder
+    folder = shared_address(spark, scratch(spark, "warc"))
     return build_index(write_archives(pages, folder)), folder
 
 
+#: Schemes of Hadoop and what pyarrow calls the same store; all others of pyarrow's have one name in both. Fixed values.
+SCHEMES = {"s3a": "s3", "s3n": "s3", "abfss": "abfs"}
+KNOWN_SCHEMES = ("file", "hdfs", "viewfs", "s3", "gs", "gcs", "abfs")
+
+
+def shared_address(spark: SparkSession, folder: str) -> str:
+    """The folder with the scheme that Spark itself would use for it, so that archives go where stored tables go."""
+    fs, path = file_system(spark, folder)
+    scheme, rest = fs.makeQualified(path).toString().split(":", 1)
+    scheme = SCHEMES.get(scheme, scheme)
+    if scheme not in KNOWN_SCHEMES:
+        raise ValueError(f"archives cannot be written to {scheme}: spark.checkpoint.dir must lie in one of {', '.join(KNOWN_SCHEMES)}")
+    return f"{scheme}:{rest}" if rest.startswith("//") else f"{scheme}://{rest}"
+
+
 def round_trip(pages: DataFrame) -> DataFrame:
     """Every page's record, written, found by its URL in the index, and read back.
 
