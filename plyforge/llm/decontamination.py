@@ -258,7 +258,8 @@ def confirmed(hits: list, overlap: float = OVERLAP) -> list:
 def contaminated_pairs(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """doc_id, item_id, score, question_overlap, answer_overlap of every confirmed leak, one row for each row of `docs` and item.
 
-    Null and empty texts hold no leak. Repeated documents each give their rows. Without items there are no rows.
+    Null and empty texts hold no leak. Repeated documents each give their rows. Without items there are no rows. Each index is
+    broadcast for a pass whose few rows are stored, and then destroyed, so that one is alive at a time.
     """
     kind, item_kind = (df.schema[c].dataType.simpleString() for df, c in ((docs, "doc_id"), (benchmark, "item_id")))
     schema = f"doc_id {kind}, item_id {item_kind}, score double, question_overlap double, answer_overlap double"
@@ -266,7 +267,8 @@ def contaminated_pairs(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     out = docs.sparkSession.createDataFrame([], schema)
     for index in indexes(benchmark):
         sent = docs.sparkSession.sparkContext.broadcast(index)
-        out = out.unionByName(rows.mapInArrow(_pair_scan(sent), schema))
+        out = out.unionByName(stored(rows.mapInArrow(_pair_scan(sent), schema), "leaks"))
+        sent.destroy()
     return out
 
 
