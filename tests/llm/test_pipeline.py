@@ -5,6 +5,7 @@ import random
 import pytest
 
 import corpus_pipeline
+from plyforge.llm import line_dedup
 from plyforge.sources.paths import stored
 from tests.llm import plain
 from tests.llm.nasty import SCHEMA
@@ -27,16 +28,21 @@ def test_toxic_documents_go(spark, passed):
     assert gone and all(labels.get(i, 1) == 1 for i in gone)
 
 
+def share(line):
+    return line_dedup.LONG_RATIO if len(line) >= line_dedup.LONG else line_dedup.RATIO
+
+
 def test_lines(passed):
     before, after = passed[1], passed[2]
     assert before.keys() == after.keys()
+    least = line_dedup.LEAST_PAGES
     sources = {}
     for r in before.values():
         sources.setdefault(r["source"], []).append({x.strip(" ") for x in r["text"].split("\n")})
     for i, r in before.items():
         own = sources[r["source"]]
         kept = [x for x in r["text"].split("\n") if not x.strip(" ") or not (
-            (n := sum(x.strip(" ") in p for p in own)) >= 5 and n > 0.1 * len(own))]
+            (n := sum(x.strip(" ") in p for p in own)) >= least and n > share(x.strip(" ")) * len(own))]
         assert after[i]["text"] == "\n".join(kept) and after[i]["n_chars"] == len(after[i]["text"])
 
 
