@@ -3,7 +3,7 @@
 from collections.abc import Callable
 
 import numpy as np
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from checks import inputs
@@ -16,16 +16,18 @@ from plyforge.operators.scoring import score_boards
 from plyforge.plans.dataset import (
     annotated_games, build_dataset, malformed_games, qualified, replayed_games, routed_positions,
 )
-from plyforge.plans.training import budgeted_batches, evaluate_sample, training_batches, with_row_id
+from plyforge.plans.training import budgeted_batches, evaluate_sample, resume_export, training_batches, with_row_id
 from plyforge.schemas import TRAIN_SEED
 from plyforge.sources import dataset
 from plyforge.sources.keys import KeyTable
-from plyforge.sources.paths import scratch, stored
-from plyforge.sources.sinks import METRICS, append_metrics, require_empty, write_batches, write_records
+from plyforge.sources.archives import list_archives, read_games, scan_archives
+from plyforge.sources.paths import file_system, scratch, stored
+from plyforge.sources.sinks import METRICS, append_metrics, require_empty, save_progress, write_batches, write_records
 from plyforge.streaming.ingest import absent_positions
 
 WINDOW, BATCH, EPOCHS, SHARDS = 1300, 64, 2, 4
 CAP = 5000
+FILE_BOUND = 400
 PIECE_VALUES = [0, -1, 1, -1, 3, -3, 3, -3, 5, -5, 5, -5, 9, -9, 0, 0]
 
 
@@ -184,7 +186,10 @@ BATCH_PLACE = ["shard", "window_index", "batch_index", "rn", "file", "row_index"
 
 def resume_batches(spark, sf):
     state = {0: (1, 3), 1: (0, 20), 2: (2, 0), 3: (0, 0)}
-    return loader.resume_batches(fixed_batches(spark, sf), state).select(*BATCH_PLACE)
+    path = scratch(spark, "batches")
+    write_batches(fixed_batches(spark, sf), path)
+    save_progress(spark, path, state)
+    return resume_export(spark, path).select(*BATCH_PLACE)
 
 
 def all_training_batches(spark, sf):
@@ -265,6 +270,78 @@ def metrics_history(spark, sf):
         F.round(F.col(c).cast("double"), 10).alias(c) for c in METRICS[2:]])
 
 
+def archives_by_file(spark, sf) -> str:
+    """Each file of the PGN records as one archive of that name, compressed with zstd."""
+    folder = scratch(spark, "zst")
+    require_empty(spark, folder)
+    address = file_system(spark, folder)[0].makeQualified(file_system(spark, folder)[1]).toString().removeprefix("file:")
+
+    def write(batches):
+        import zstandard
+
+        out, name = None, None
+        for batch in batches:
+            for file, pgn in zip(batch.column("file").to_pylist(), batch.column("pgn").to_pylist(), strict=True):
+                if file != name:
+                    if out is not None:
+                        out.close()
+                    name, out = file, zstandard.open(f"{address}/{file}.pgn.zst", "wb")
+                out.write(f"{pgn}\n\n".encode())
+        if out is not None:
+            out.close()
+        yield from ()
+
+    records = inputs.pgn_records(spark, sf).repartition("file").sortWithinPartitions("file", "game_ord")
+    records.mapInArrow(write, "file string").write.format("noop").mode("overwrite").save()
+    return folder
+
+
+def archive_listing(spark, sf):
+    """Archives in name order, and the games that each holds."""
+    folder = archives_by_file(spark, sf)
+    names = list_archives(spark, folder).select(F.substring_index("path", "/", -1).alias("file"), "length")
+    held = scan_archives(spark, folder).groupBy("file").agg(F.count("*").alias("games"))
+    order = F.row_number().over(Window.orderBy("file"))
+    return names.withColumn("place", order.cast("long")).join(held, "file").where("length > 0").select("file", "place", "games")
+
+
+def archive_scan(spark, sf):
+    """The games of zstd archives, read back."""
+    return read_games(spark, archives_by_file(spark, sf)).drop("game_ord")
+
+
+def listed_rows(spark, sf, files: Callable[[SparkSession, str], DataFrame]):
+    """Rows of the data files that `files` lists, by split; a file counts if its listed length is the one that the scan sees."""
+    path = write_dataset(spark, sf)
+    seen = dataset.scan_records(spark, path).groupBy(
+        F.col("_metadata.file_name").alias("name"), F.col("_metadata.file_size").alias("length")).agg(F.count("*").alias("rows"))
+    return files(spark, path).join(seen, ["name", "length"]).groupBy("split").agg(F.sum("rows").alias("rows"))
+
+
+def output_guard(spark, sf):
+    """What the guard does with a missing folder, an empty one, and one that holds the dataset, and the rows that are there."""
+    path, found = scratch(spark, "guarded"), []
+    for case in ("missing", "empty", "written"):
+        try:
+            require_empty(spark, path)
+            allowed = True
+        except ValueError:
+            allowed = False
+        if case == "empty":
+            write_records(encode.training_records(inputs.boards(spark, sf)), path)
+        held = dataset.scan_records(spark, path).count() if case == "written" else 0
+        found.append((case, allowed, held))
+    return spark.createDataFrame(found, "state string, allowed boolean, rows long")
+
+
+def file_layout(spark, sf):
+    """Rows by split, and whether every file keeps within the bound."""
+    path = scratch(spark, "records")
+    write_records(encode.training_records(inputs.boards(spark, sf)), path, rows_per_file=FILE_BOUND)
+    files = dataset.scan_records(spark, path).groupBy("setType", F.col("_metadata.file_name").alias("name")).agg(F.count("*").alias("n"))
+    return files.groupBy("setType").agg(F.sum("n").alias("rows"), (F.max("n") <= FILE_BOUND).alias("bounded"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "games_from_pgn": lambda s, d: games.games_from_pgn(inputs.pgn_records(s, d)),
     "filter_min_elo": lambda s, d: games.filter_min_elo(inputs.tagged_games(s, d)).select("game_id", "min_elo"),
@@ -321,4 +398,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "evaluate_sample": evaluated_sample,
     "export_by_budget": exported_by_budget,
     "metrics_history": metrics_history,
+    "archive_listing": archive_listing,
+    "archive_scan": archive_scan,
+    "train_files": lambda s, d: listed_rows(s, d, dataset.train_files),
+    "split_files": lambda s, d: listed_rows(s, d, dataset.split_files),
+    "output_guard": output_guard,
+    "file_layout": file_layout,
 }

@@ -338,6 +338,15 @@ ORACLE: dict[str, str] = {
               row_number() over (partition by shard order by window_index, batch_index) as seq
             from batch group by shard, window_index, batch_index))
         where place <= (2 * (select count(*) from data_row) - 300) // {BATCH}""", SHUFFLED),
+    "archive_listing": games("""select file || '.pgn.zst' as file, row_number() over (order by file) as place, games
+      from (select file, count(*) as games from record group by file)""", MOVETEXT_SQL),
+    "archive_scan": games("""select md5(pgn) as game_id, file || '.pgn.zst' as file, white_elo, black_elo, result, movetext
+      from record""", MOVETEXT_SQL),
+    "train_files": f"with {board_cte()} select set_type as split, count(*) as rows from board where set_type = 'train' group by 1",
+    "split_files": f"with {board_cte()} select set_type as split, count(*) as rows from board group by 1",
+    "output_guard": f"""with {board_cte()} select unnest(['missing', 'empty', 'written']) as state, unnest([true, true, false]) as allowed,
+      unnest([0, 0, (select count(*) from board)]) as rows""",
+    "file_layout": f"with {board_cte()} select set_type as \"setType\", count(*) as rows, true as bounded from board group by 1",
     "metrics_history": f"""with s as (select event_id as step, value as loss, value / 50 as grad_norm, max(event_id) over () as last from events),
       g as (select least(cast(ceil(step / 128.0) * 128 as bigint), last) as ended_at, * from s)
       select ended_at as step, round(round(ended_at / 157.0, 5), 4) as epoch, round(avg(loss), 10) as train_loss, round(avg(grad_norm), 10) as train_grad_norm,

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from plyforge.operators.positions import POSITION_KEY, POSITION_ORDER
+from plyforge.operators.ranking import running_before
 
 GAMES_PER_BLOCK_BITS = 12
 
@@ -34,9 +35,8 @@ def cap_positions(positions: DataFrame, limit: int) -> DataFrame:
     counts = positions.groupBy("file", block.alias("block")).agg(F.count("*").alias("n"))
     by_block = Window.partitionBy("file").orderBy("block")
     files = counts.groupBy("file").agg(F.sum("n").alias("total"))
-    before = F.sum("total").over(Window.orderBy("file")) - F.col("total")
     edge = (
-        counts.join(files.select("file", before.alias("before")).where(F.col("before") <= limit), "file")
+        counts.join(running_before(files, "file", "total", "before").select("file", "before").where(F.col("before") <= limit), "file")
         .withColumn("start", F.col("before") + F.sum("n").over(by_block) - F.col("n"))
         .where((F.col("start") <= limit) & (F.col("start") + F.col("n") > limit))
         .select("file", "block", "start")

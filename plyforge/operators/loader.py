@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from plyforge.functions.evals import win_probability
 from plyforge.functions.hashing import order_hash
-from plyforge.operators.ranking import rank_by_hash, slice_bits
+from plyforge.operators.ranking import rank_by_hash, running_before, slice_bits
 from plyforge.schemas import (
     BATCH_ROWS, EVAL_POOL_ROWS, EVAL_SAMPLE_ROWS, EVAL_SEED, LOADER_SHARDS, SQUARES, TRAIN_SEED, WINDOW_ROWS,
 )
@@ -132,12 +132,15 @@ def batch_shortfall(windows: DataFrame, iterations: int, batch_rows: int = BATCH
 
 
 def resume_batches(batches: DataFrame, state: Mapping[int, tuple[int, int]]) -> DataFrame:
-    """Batches still to deliver. `state` gives per shard the next (window_index, batch_index)."""
+    """Batches still to deliver. `state` gives per shard the next (window_index, batch_index).
+
+    The windows still to come are asked for on their own as well, so that of exported batches only their folders are read.
+    """
     pending = F.lit(True)
     for shard, (window, batch) in state.items():
-        reached = (F.col("window_index") > window) | (
-            (F.col("window_index") == window) & (F.col("batch_index") >= batch))
-        pending = pending & ((F.col("shard") != shard) | reached)
+        ahead = (F.col("shard") != shard) | (F.col("window_index") >= window)
+        begun = (F.col("shard") != shard) | (F.col("window_index") != window) | (F.col("batch_index") >= batch)
+        pending = pending & ahead & begun
     return batches.where(pending)
 
 
@@ -160,8 +163,7 @@ def with_label(rows: DataFrame) -> DataFrame:
 
 def pool_files(rows: DataFrame, pool_rows: int = EVAL_POOL_ROWS) -> DataFrame:
     """Files that hold the first `pool_rows` rows in scan order, with the rows `before` each."""
-    before = F.sum("rows").over(Window.orderBy("file")) - F.col("rows")
-    return file_table(rows).select("file", before.alias("before")).where(F.col("before") < pool_rows)
+    return running_before(file_table(rows), "file", "rows", "before").select("file", "before").where(F.col("before") < pool_rows)
 
 
 def eval_sample(

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from plyforge.functions.hashing import ORDER_BITS
+from plyforge.sources.paths import stored
 
 
 def rank_by_hash(
@@ -34,6 +35,23 @@ def rank_by_hash(
     )
 
 
+def running_before(df: DataFrame, order: str, value: str, name: str) -> DataFrame:
+    """Adds the sum of `value` over all rows that come before in `order`, which is unique.
+
+    A prefix sum over sorted range partitions: each is summed up for itself and shifted by the totals of those before it, one number
+    for each partition. No task sees all rows.
+    """
+    ranged = stored(df.repartitionByRange(order).withColumn("_part", F.spark_partition_id()), "ranged")
+    total, shifts = 0, []
+    for row in ranged.groupBy("_part").agg(F.sum(value).alias("n")).orderBy("_part").collect():
+        shifts.append((row["_part"], total))
+        total += row["n"] or 0
+    within = Window.partitionBy("_part").orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+    earlier = ranged.withColumn(name, F.coalesce(F.sum(value).over(within), F.lit(0)).cast("long"))
+    table = df.sparkSession.createDataFrame(shifts, "_part int, _shift long")
+    return earlier.join(table, "_part").withColumn(name, F.col(name) + F.col("_shift")).drop("_part", "_shift")
+
+
 def slice_bits(rows: Column, per_slice: int = 1 << 18) -> Column:
     """Hash bits that cut `rows` into slices of about `per_slice` rows."""
     return F.greatest(F.lit(0), F.ceil(F.log2(rows / F.lit(per_slice)))).cast("int")

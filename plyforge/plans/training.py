@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from plyforge.operators.loader import (
     batch_shortfall, check_feature_width, epoch_plan, eval_sample, file_table, first_batches, fixed_batches,
-    plan_windows, pool_files, window_shuffle, with_label,
+    plan_windows, pool_files, resume_batches, window_shuffle, with_label,
 )
 from plyforge.operators.metrics import eval_metrics, run_sizing
 from plyforge.operators.scoring import score_boards
@@ -17,7 +17,7 @@ from plyforge.schemas import (
 )
 from plyforge.sources.dataset import scan_records, scan_rows
 from plyforge.sources.paths import stored
-from plyforge.sources.sinks import write_batches
+from plyforge.sources.sinks import load_progress, write_batches
 
 BATCH_COLUMNS = ["shard", "window_index", "batch_index", "rn", "features", "label"]
 
@@ -70,6 +70,11 @@ def export_by_budget(spark: SparkSession, dataset: str, output: str, train_board
     return shortfall.first().asDict()
 
 
+def resume_export(spark: SparkSession, output: str) -> DataFrame:
+    """Exported batches still to deliver, by the progress saved beside them; folders of earlier windows are not opened."""
+    return resume_batches(spark.read.parquet(output), load_progress(spark, output))
+
+
 def load_eval_sample(
     spark: SparkSession, dataset: str, pool_rows: int = EVAL_POOL_ROWS, sample_rows: int = EVAL_SAMPLE_ROWS,
     seed: int = EVAL_SEED,

@@ -1,9 +1,17 @@
 """Writers of the training dataset, of training batches and of the metrics history."""
 
+import json
+from collections.abc import Mapping
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plyforge.sources.paths import file_system
+from plyforge.sources.paths import exists, file_system, read_text, write_text
+
+#: Most rows of a data file.
+ROWS_PER_FILE = 1 << 20
+#: The leading underscore keeps it out of scans.
+PROGRESS = "_progress.json"
 
 METRICS = [
     "step", "epoch", "train_loss", "train_grad_norm", "train_grad_clipped",
@@ -19,9 +27,25 @@ def require_empty(spark: SparkSession, path: str) -> None:
     fs.mkdirs(jpath)
 
 
-def write_records(records: DataFrame, path: str) -> None:
-    """Appends to the dataset, one folder per split. Guard a first write with `require_empty`."""
-    records.write.mode("append").partitionBy("setType").parquet(path)
+def write_records(records: DataFrame, path: str, rows_per_file: int = ROWS_PER_FILE) -> None:
+    """Appends to the dataset, one folder per split. Guard a first write with `require_empty`.
+
+    Rows are rebalanced into files of an even size, none of more than `rows_per_file`: the shuffle windows of training follow the largest file.
+    """
+    writer = records.hint("rebalance", "setType").write.mode("append").partitionBy("setType")
+    writer.option("maxRecordsPerFile", rows_per_file).parquet(path)
+
+
+def save_progress(spark: SparkSession, path: str, state: Mapping[int, tuple[int, int]]) -> None:
+    """Puts the next (window_index, batch_index) of each shard beside the exported batches, as a whole or not at all."""
+    write_text(spark, f"{path.rstrip('/')}/{PROGRESS}", json.dumps({str(shard): list(at) for shard, at in state.items()}))
+
+
+def load_progress(spark: SparkSession, path: str) -> dict[int, tuple[int, int]]:
+    """What was saved last; nothing for an export that was not begun."""
+    file = f"{path.rstrip('/')}/{PROGRESS}"
+    saved = json.loads(read_text(spark, file)) if exists(spark, file) else {}
+    return {int(shard): tuple(at) for shard, at in saved.items()}
 
 
 def write_batches(batches: DataFrame, path: str, batches_per_file: int = 64) -> None:
