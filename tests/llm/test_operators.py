@@ -89,7 +89,7 @@ def test_toxicity_learns_from_its_fold_only(spark):
 def test_long_texts_teach():
     batch = pa.RecordBatch.from_pydict({"toxic": [True, True], "draw": [1, 2], "text": ["word " * 7000, "word " * 9000]})
     (got,) = toxicity._hash_rows([batch])
-    assert [len(x) // 8 for x in got.column("words").to_pylist()] == [7000, 0]
+    assert [len(x) // 4 for x in got.column("words").to_pylist()] == [7000, 0]
 
 
 def test_viterbi_in_blocks():
