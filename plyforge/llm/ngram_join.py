@@ -3,7 +3,8 @@
 1. Documents with the same set form a class, found by a 128-bit hash of the set. Only one set per class goes on.
 2. n-grams are put into one order for all sets: those that few classes have first. A set's first n - ceil(t n) + 1
    n-grams are its short inverted lists; two similar sets share one of them. Only the n-grams whose hashes lie below a fixed cut are
-   counted and ordered by count, the others follow in order of their hash: any order that all sets share is right.
+   counted and ordered by count, the others follow in order of their hash, and the heaviest n-grams that such prefixes hold
+   come last of all wherever their hashes lie: any order that all sets share is right.
 3. In each inverted list every class is compared with one centre. This joins near copies, however many, without comparing them with each other.
 4. Lists in which more than one component is left are searched in full, in blocks of classes, by T-occurrence: the lists of the
    query's n-grams are merged but for the longest ones, which are probed by bisection (DivideSkip), and the overlap decides.
@@ -16,7 +17,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -27,6 +28,8 @@ from plyforge.sources.paths import stored
 SHINGLE, PERCENT = 3, 90
 BLOCK = 512
 HEAD = 16
+#: An n-gram is heavy if more prefixes hold it than two blocks have room for. The heaviest of them, half a megabyte of hashes, are put last.
+HEAVY, MOST_HEAVY, ROUNDS = 2 * BLOCK, 1 << 16, 2
 PROBES = 8
 MU = 0.01
 
@@ -96,26 +99,80 @@ def _set_rows(docs: DataFrame, size: int, percent: int) -> DataFrame:
     return texts.mapInArrow(rows, f"doc_id {kind}, n long, one long, two long, spare int, low array<long>")
 
 
-def short_lists(classes: DataFrame, percent: int = PERCENT) -> DataFrame:
+def _entries(classes: DataFrame) -> DataFrame:
+    return classes.select("c", F.explode("low").alias("h"))
+
+
+def _shared(classes: DataFrame) -> DataFrame:
+    """(h, df) of the n-grams that more than one class has in `low`."""
+    return stored(_entries(classes).groupBy("h").agg(F.count("*").alias("df")).where("df > 1"), "counts")
+
+
+def _heaviest(counts: DataFrame, known: np.ndarray) -> np.ndarray:
+    """The known heavy n-grams and the heaviest new ones, sorted, `MOST_HEAVY` in all."""
+    found = counts.where(F.col("df") > HEAVY).orderBy(F.desc("df"), "h").limit(MOST_HEAVY).select("h").toArrow()["h"].to_numpy()
+    fresh = found[~np.isin(found, known)][:MOST_HEAVY - len(known)]
+    return np.sort(np.concatenate([known, fresh]))
+
+
+def _light_first(own: np.ndarray, heavy: np.ndarray, percent: int) -> np.ndarray:
+    """The prefix of a set whose n-grams below the cut do not fill it: light n-grams by hash, then heavy ones."""
+    last = np.isin(_signed(own), heavy)
+    behind = np.sort(_signed(own[last])).view(np.uint64)
+    return np.concatenate([own[~last], behind])[:len(own) - least_overlap(len(own), percent) + 1]
+
+
+def _heavy_table(spark: SparkSession, heavy: np.ndarray) -> DataFrame:
+    return F.broadcast(spark.createDataFrame(pa.table({"h": pa.array(heavy, pa.int64())})))
+
+
+def heavy_last(docs: DataFrame, classes: DataFrame, size: int, percent: int) -> tuple[DataFrame, DataFrame, np.ndarray]:
+    """The classes with prefixes in which heavy n-grams come last, the counts of these prefixes, and the heavy n-grams.
+
+    A class needs other n-grams than it has taken if it would be left with fewer light ones than its prefix has; its text gives them. These may be
+    heavy in turn, hence the rounds. Where the heavy n-grams end decides the length of the lists alone: any set of them is right.
+    """
+    spark, whole, heavy = classes.sparkSession, classes, np.zeros(0, np.int64)
+    counts = _shared(classes)
+    for _ in range(ROUNDS):
+        more = _heaviest(counts, heavy)
+        if len(more) == len(heavy):
+            break
+        heavy = more
+        held = _entries(whole).join(_heavy_table(spark, heavy), "h").groupBy("c").agg(F.count("*").alias("held"))
+        wanted = whole.join(held, "c").where(F.col("held") > F.col("spare")).select("c")
+        refilled = stored(_refilled(docs, classes, wanted, size, percent, heavy), "refilled")
+        whole = whole.join(refilled.withColumnsRenamed({"low": "_low"}), "c", "left").withColumns(
+            {"spare": F.when(F.col("_low").isNull(), F.col("spare")).otherwise(0), "low": F.coalesce("_low", "low")}).drop("_low")
+        counts = _shared(whole)
+    return whole, counts, heavy
+
+
+def short_lists(
+    classes: DataFrame, percent: int = PERCENT, counts: DataFrame | None = None, heavy: np.ndarray = np.zeros(0, np.int64),
+) -> DataFrame:
     """(c, n, alone, listed) for the classes whose prefix has n-grams that other classes have too: these, in order.
 
-    `alone` is the number of n-grams below the cut that no other class has: they stand in front of the listed ones. An n-gram of one class
-    alone needs no list, so most sets keep no list at all. Above the cut an n-gram that one class alone has taken may stand in
+    `alone` is the number of light n-grams below the cut that no other class has: they stand in front of the listed ones. An n-gram of one
+    class alone needs no list, so most sets keep no list at all. Above the cut an n-gram that one class alone has taken may stand in
     others behind what they took, so it is not counted.
     """
-    entries = classes.select("c", F.explode("low").alias("h"))
-    counts = entries.groupBy("h").agg(F.count("*").alias("df")).where("df > 1")
     cut = cut_of(percent)
-    low = (F.col("h") >= 0) & (F.col("h") < cut)
+    counts = _shared(classes) if counts is None else counts
+    marked = counts.join(_heavy_table(classes.sparkSession, heavy).withColumn("heavy", F.lit(True)), "h", "left")
+    below = (F.col("h") >= 0) & (F.col("h") < cut)
     # Hashes are signed here: those from 2^63 on are negative and come last.
-    behind = F.when(F.col("h") >= 0, 2 ** 62).otherwise(2 ** 62 + 1)
-    shared = entries.join(counts, "h").select("c", F.struct(F.when(low, F.col("df")).otherwise(behind).alias("df"), "h").alias("e"))
+    place = F.when(F.col("heavy"), 2 ** 62 + 2).when(below, F.col("df")).when(F.col("h") >= 0, 2 ** 62).otherwise(2 ** 62 + 1)
+    shared = _entries(classes).join(marked, "h").select("c", F.struct(place.alias("df"), "h").alias("e"))
+
+    def low(h: Column) -> Column:
+        return (h >= 0) & (h < cut)
+
     # As many as a document has words, at most.
-    below = F.size(F.filter("low", lambda h: (h >= 0) & (h < cut)))
     per_class = shared.groupBy("c").agg(F.array_sort(F.collect_list("e")).alias("es")).join(
-        classes.select("c", "n", "spare", below.alias("below")), "c")
+        classes.select("c", "n", "spare", F.size(F.filter("low", low)).alias("below")), "c")
     prefix = F.slice("es", 1, F.greatest(F.size("es") - F.col("spare"), F.lit(0)))
-    alone = F.col("below") - F.size(F.filter("es", lambda e: e["df"] < 2 ** 62))
+    alone = F.col("below") - F.size(F.filter("es", lambda e: low(e["h"])))
     return per_class.select("c", "n", alone.cast("long").alias("alone"), prefix["h"].alias("listed")).where(F.size("listed") > 0)
 
 
@@ -308,34 +365,50 @@ def _search(members: DataFrame, keys: list[str], sets: DataFrame, percent: int)
     return rows.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(run, "a long, b long")
 
 
-def _sets_of(docs: DataFrame, classes: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
-    """(c, n, grams, bits) of the wanted classes, from the text of one document each."""
+def _texts_of(docs: DataFrame, classes: DataFrame, wanted: DataFrame) -> DataFrame:
+    """(c, one, two, text) of the documents that may show the sets of the wanted classes."""
     found = classes.join(wanted.select("c").distinct(), "c", "left_semi").select("c", "least_id", "one", "two")
-    texts = docs.select("doc_id", F.col("text").cast("string").alias("text")).join(
-        found, F.col("doc_id").eqNullSafe(F.col("least_id"))).select(
-        "c", "one", "two", "text")
+    texts = docs.select("doc_id", F.col("text").cast("string").alias("text"))
+    return texts.join(found, F.col("doc_id").eqNullSafe(F.col("least_id"))).select("c", "one", "two", "text")
+
+
+def _fresh_sets(batch: pa.RecordBatch, seen: set[int], size: int) -> Iterator[tuple[int, np.ndarray]]:
+    """The sets of the classes that have not been seen; a document with the same id may have another text."""
+    fresh = [i for i, c in enumerate(batch.column("c").to_pylist()) if c not in seen]
+    batch = batch.take(pa.array(fresh, pa.int64()))
+    one, two, classes = (batch.column(k).to_numpy() for k in ("one", "two", "c"))
+    for i, own in enumerate(shingle_sets(batch.column("text"), size)):
+        mixed = mix(own + np.uint64(77))
+        if len(own) and classes[i] not in seen and _signed(np.bitwise_xor.reduce(mixed, keepdims=True))[0] == one[i] and _signed(
+                np.add.reduce(mixed * np.uint64(0x2545F4914F6CDD1D), keepdims=True))[0] == two[i]:
+            seen.add(int(classes[i]))
+            yield int(classes[i]), own
 
+
+def _refilled(docs: DataFrame, classes: DataFrame, wanted: DataFrame, size: int, percent: int, heavy: np.ndarray) -> DataFrame:
+    """(c, low) of the wanted classes: as many n-grams as the prefix has, heavy ones last."""
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()  # repeated rows of a document come to one task, or to a few if Spark splits them
         for batch in batches:
-            fresh = [i for i, c in enumerate(batch.column("c").to_pylist()) if c not in seen]
-            batch = batch.take(pa.array(fresh, pa.int64()))
-            one, two, classes_ = (batch.column(k).to_numpy() for k in ("one", "two", "c"))
-            at, out = [], []
-            for i, own in enumerate(shingle_sets(batch.column("text"), size)):
-                mixed = mix(own + np.uint64(77))
-                if len(own) and _signed(np.bitwise_xor.reduce(mixed, keepdims=True))[0] == one[i] and _signed(
-                        np.add.reduce(mixed * np.uint64(0x2545F4914F6CDD1D), keepdims=True))[0] == two[i]:
-                    if classes_[i] not in seen:
-                        seen.add(int(classes_[i]))
-                        at.append(i)
-                        out.append(own.tobytes())
-            bits = [bitmap(np.frombuffer(x, np.uint64)) for x in out]
+            found = [(c, _signed(_light_first(own, heavy, percent))) for c, own in _fresh_sets(batch, seen, size)]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([c for c, _ in found], pa.int64()), pa.array([x for _, x in found], pa.list_(pa.int64()))], ["c", "low"])
+
+    return _texts_of(docs, classes, wanted).mapInArrow(rows, "c long, low array<long>").dropDuplicates(["c"])
+
+
+def _sets_of(docs: DataFrame, classes: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
+    """(c, n, grams, bits) of the wanted classes, from the text of one document each."""
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[int] = set()
+        for batch in batches:
+            found = list(_fresh_sets(batch, seen, size))
             yield pa.RecordBatch.from_arrays(
-                [batch.column("c").take(pa.array(at, pa.int64())), pa.array([len(x) // 8 for x in out], pa.int64()),
-                 pa.array(out, pa.binary()), pa.array(bits, pa.binary())], ["c", "n", "grams", "bits"])
+                [pa.array([c for c, _ in found], pa.int64()), pa.array([len(x) for _, x in found], pa.int64()),
+                 pa.array([x.tobytes() for _, x in found], pa.binary()), pa.array([bitmap(x) for _, x in found], pa.binary())],
+                ["c", "n", "grams", "bits"])
 
-    return texts.mapInArrow(rows, "c long, n long, grams binary, bits binary")
+    return _texts_of(docs, classes, wanted).mapInArrow(rows, "c long, n long, grams binary, bits binary")
 
 
 def _blocks(counts: DataFrame, name: str) -> DataFrame:
@@ -394,7 +467,8 @@ def similar_documents(docs: DataFrame, size: int = SHINGLE, percent: int = PERCE
     classes = stored(rows.where("n > 0").groupBy("one", "two", "n").agg(
         F.min("doc_id").alias("least_id"), F.first("spare").alias("spare"), F.first("low").alias("low")).withColumn(
         "c", F.monotonically_increasing_id()), "classes")
-    prefixes = stored(short_lists(classes, percent), "prefixes")
+    whole, counts, heavy = heavy_last(docs, classes, size, percent)
+    prefixes = stored(short_lists(whole, percent, counts, heavy), "prefixes")
     lists = prefixes.select("c", F.posexplode("listed").alias("before", "h"))
     lists = stored(lists.join(lists.groupBy("h").agg(F.count("*").alias("k")).where("k > 1").select("h"), "h", "left_semi"), "lists")
     sets = stored(_sets_of(docs, classes, lists, size), "grams")

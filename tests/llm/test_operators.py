@@ -8,6 +8,7 @@ import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from plyforge.llm import chat, decontamination, metric_search, ngram_join, packing, pii, sharding, texts, toxicity
 from plyforge.llm.queries import QUERIES, tokenizer_path
@@ -201,6 +202,37 @@ def test_ngram_families(spark, monkeypatch, block):
     assert got == plain.components({i: plain.shingles(t) for i, t in enumerate(rows)})
 
 
+@pytest.mark.parametrize("heavy, most", [(2, 1 << 16), (6, 40)])
+def test_ngram_heavy_last(spark, monkeypatch, heavy, most):
+    """Whatever n-grams are put last, also if only some of them fit, the components are those of comparing all pairs."""
+    monkeypatch.setattr(ngram_join, "HEAVY", heavy)
+    monkeypatch.setattr(ngram_join, "MOST_HEAVY", most)
+    rng = random.Random(12)
+    rows, phrases = [], [[f"p{k}q{i}" for i in range(rng.randint(3, 6))] for k in range(12)]
+    for family in range(40):
+        base = [w for p in rng.sample(phrases, rng.randint(1, 4)) for w in p] + [f"f{family}w{i}" for i in range(rng.choice([0, 4, 9, 25]))]
+        for _ in range(6):
+            words = list(base)
+            for _ in range(rng.randint(0, 2)):
+                words.insert(rng.randrange(len(words) + 1), f"x{rng.randrange(10 ** 6)}")
+            rows.append(" ".join(words))
+    frame = spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string")
+    for size, percent in ((3, 90), (5, 80)):
+        got = {r["doc_id"]: r["component_id"] for r in ngram_join.similar_documents(frame, size, percent).collect()}
+        assert got == plain.components({i: plain.shingles(t, size) for i, t in enumerate(rows)}, percent)
+
+
+def test_ngram_common_phrase_makes_no_list(spark, monkeypatch):
+    """A phrase that all of many short documents share stands behind their own words, wherever its hash lies."""
+    monkeypatch.setattr(ngram_join, "HEAVY", 50)
+    for k in range(6):
+        rows = [" ".join([*(f"a{i}x{j}" for j in range(5)), "in", "the", f"end{k}", *(f"b{i}x{j}" for j in range(5))]) for i in range(400)]
+        frame = spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string")
+        classes = ngram_join._set_rows(frame, 3, 90).withColumnsRenamed({"doc_id": "c"}).withColumn("least_id", F.col("c"))
+        whole, counts, heavy = ngram_join.heavy_last(frame, classes, 3, 90)
+        assert ngram_join.short_lists(whole, 90, counts, heavy).count() == 0
+
+
 def test_ngram_places_are_exact(spark):
     """The place of a listed n-gram leaves every similar pair room: short texts with a shared passage and words put behind it."""
     rng = random.Random(8)
