@@ -17,7 +17,8 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+import pyarrow.compute as pc
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -73,30 +74,32 @@ def _signed(values: np.ndarray) -> np.ndarray:
 
 
 def _set_rows(docs: DataFrame, size: int, percent: int) -> DataFrame:
-    """doc_id, n, two hashes of the set, its low n-grams, and how many more of these there are than the prefix needs."""
+    """doc_id, n, two hashes of the set, its low n-grams, how many more of these there are than the prefix needs, and how many lie below the cut."""
     kind, cut = docs.schema["doc_id"].dataType.simpleString(), np.uint64(cut_of(percent))
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            n, one, two, spare, low = [], [], [], [], []
+            n, one, two, spare, below, low = [], [], [], [], [], []
             for own in shingle_sets(batch.column("text"), size):
                 n.append(len(own))
                 mixed = mix(own + np.uint64(77))
                 one.append(np.bitwise_xor.reduce(mixed, initial=0))
                 two.append(np.add.reduce(mixed * np.uint64(0x2545F4914F6CDD1D), dtype=np.uint64) if len(own) else 0)
                 prefix = len(own) - least_overlap(len(own), percent) + 1 if len(own) else 0
-                taken = max(int(np.searchsorted(own, cut)), prefix)
+                below.append(int(np.searchsorted(own, cut)))
+                taken = max(below[-1], prefix)
                 spare.append(taken - prefix)
                 low.append(own[:taken])
             ends = np.concatenate([[0], np.cumsum([len(x) for x in low])]).astype(np.int32)
             flat = _signed(np.concatenate([np.zeros(0, np.uint64), *low]))
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), pa.array(n, pa.int64()), pa.array(_signed(np.array(one, np.uint64))),
-                 pa.array(_signed(np.array(two, np.uint64))), pa.array(spare, pa.int32()), pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))],
-                ["doc_id", "n", "one", "two", "spare", "low"])
+                 pa.array(_signed(np.array(two, np.uint64))), pa.array(spare, pa.int32()), pa.array(below, pa.int32()),
+                 pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))],
+                ["doc_id", "n", "one", "two", "spare", "below", "low"])
 
     texts = docs.select("doc_id", F.col("text").cast("string").alias("text"))
-    return texts.mapInArrow(rows, f"doc_id {kind}, n long, one long, two long, spare int, low array<long>")
+    return texts.mapInArrow(rows, f"doc_id {kind}, n long, one long, two long, spare int, below int, low array<long>")
 
 
 def _entries(classes: DataFrame) -> DataFrame:
@@ -122,8 +125,21 @@ def _light_first(own: np.ndarray, heavy: np.ndarray, percent: int) -> np.ndarray
     return np.concatenate([own[~last], behind])[:len(own) - least_overlap(len(own), percent) + 1]
 
 
-def _heavy_table(spark: SparkSession, heavy: np.ndarray) -> DataFrame:
-    return F.broadcast(spark.createDataFrame(pa.table({"h": pa.array(heavy, pa.int64())})))
+def _without_heavy(classes: DataFrame, heavy: np.ndarray) -> DataFrame:
+    """(c, n, spare, below, low) without heavy n-grams; where light ones do not fill the prefix, `spare` is negative."""
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            low = batch.column("low")
+            grams = low.flatten().to_numpy()
+            there = heavy[np.minimum(np.searchsorted(heavy, grams), len(heavy) - 1)] == grams
+            kept = np.concatenate([[0], np.cumsum(~there)])
+            ends = np.concatenate([[0], np.cumsum(low.value_lengths().to_numpy())])
+            held = pa.array((np.diff(ends) - np.diff(kept[ends])).astype(np.int32))
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("c"), batch.column("n"), pc.subtract(batch.column("spare"), held), pc.subtract(batch.column("below"), held),
+                 pa.ListArray.from_arrays(pa.array(kept[ends].astype(np.int32)), pa.array(grams[~there]))], ["c", "n", "spare", "below", "low"])
+
+    return classes.select("c", "n", "spare", "below", "low").mapInArrow(rows, "c long, n long, spare int, below int, low array<long>")
 
 
 def heavy_last(docs: DataFrame, classes: DataFrame, size: int, percent: int) -> tuple[DataFrame, DataFrame, np.ndarray]:
@@ -132,18 +148,16 @@ def heavy_last(docs: DataFrame, classes: DataFrame, size: int, percent: int) ->
     A class needs other n-grams than it has taken if it would be left with fewer light ones than its prefix has; its text gives them. These may be
     heavy in turn, hence the rounds. Where the heavy n-grams end decides the length of the lists alone: any set of them is right.
     """
-    spark, whole, heavy = classes.sparkSession, classes, np.zeros(0, np.int64)
+    whole, heavy = classes, np.zeros(0, np.int64)
     counts = _shared(classes)
     for _ in range(ROUNDS):
         more = _heaviest(counts, heavy)
         if len(more) == len(heavy):
             break
         heavy = more
-        held = _entries(whole).join(_heavy_table(spark, heavy), "h").groupBy("c").agg(F.count("*").alias("held"))
-        wanted = whole.join(held, "c").where(F.col("held") > F.col("spare")).select("c")
-        refilled = stored(_refilled(docs, classes, wanted, size, percent, heavy), "refilled")
-        whole = whole.join(refilled.withColumnsRenamed({"low": "_low"}), "c", "left").withColumns(
-            {"spare": F.when(F.col("_low").isNull(), F.col("spare")).otherwise(0), "low": F.coalesce("_low", "low")}).drop("_low")
+        light = _without_heavy(classes, heavy)
+        refilled = stored(_refilled(docs, classes, light.where("spare < 0"), size, percent, heavy), "refilled")
+        whole = light.where("spare >= 0").unionByName(refilled)
         counts = _shared(whole)
     return whole, counts, heavy
 
@@ -159,20 +173,17 @@ def short_lists(
     """
     cut = cut_of(percent)
     counts = _shared(classes) if counts is None else counts
-    marked = counts.join(_heavy_table(classes.sparkSession, heavy).withColumn("heavy", F.lit(True)), "h", "left")
+    last = classes.sparkSession.createDataFrame(pa.table({"h": pa.array(heavy, pa.int64()), "heavy": pa.repeat(True, len(heavy))}))
+    marked = counts.join(F.broadcast(last), "h", "left")  # half a megabyte at most, see MOST_HEAVY
     below = (F.col("h") >= 0) & (F.col("h") < cut)
     # Hashes are signed here: those from 2^63 on are negative and come last.
     place = F.when(F.col("heavy"), 2 ** 62 + 2).when(below, F.col("df")).when(F.col("h") >= 0, 2 ** 62).otherwise(2 ** 62 + 1)
     shared = _entries(classes).join(marked, "h").select("c", F.struct(place.alias("df"), "h").alias("e"))
-
-    def low(h: Column) -> Column:
-        return (h >= 0) & (h < cut)
-
     # As many as a document has words, at most.
     per_class = shared.groupBy("c").agg(F.array_sort(F.collect_list("e")).alias("es")).join(
-        classes.select("c", "n", "spare", F.size(F.filter("low", low)).alias("below")), "c")
+        classes.select("c", "n", "spare", "below"), "c")
     prefix = F.slice("es", 1, F.greatest(F.size("es") - F.col("spare"), F.lit(0)))
-    alone = F.col("below") - F.size(F.filter("es", lambda e: low(e["h"])))
+    alone = F.col("below") - F.size(F.filter("es", lambda e: e["df"] < 2 ** 62))
     return per_class.select("c", "n", alone.cast("long").alias("alone"), prefix["h"].alias("listed")).where(F.size("listed") > 0)
 
 
@@ -386,15 +397,21 @@ def _fresh_sets(batch: pa.RecordBatch, seen: set[int], size: int) -> Iterator[tu
 
 
 def _refilled(docs: DataFrame, classes: DataFrame, wanted: DataFrame, size: int, percent: int, heavy: np.ndarray) -> DataFrame:
-    """(c, low) of the wanted classes: as many n-grams as the prefix has, heavy ones last."""
+    """(c, n, spare, below, low) of the wanted classes: as many n-grams as the prefix has, heavy ones last. `below` counts light ones."""
+    cut = np.uint64(cut_of(percent))
+
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()  # repeated rows of a document come to one task, or to a few if Spark splits them
         for batch in batches:
-            found = [(c, _signed(_light_first(own, heavy, percent))) for c, own in _fresh_sets(batch, seen, size)]
+            found = [(c, len(own), _light_first(own, heavy, percent)) for c, own in _fresh_sets(batch, seen, size)]
+            low = [_signed(x) for _, _, x in found]
+            below = [int((x[~np.isin(y, heavy)] < cut).sum()) for (_, _, x), y in zip(found, low, strict=True)]
             yield pa.RecordBatch.from_arrays(
-                [pa.array([c for c, _ in found], pa.int64()), pa.array([x for _, x in found], pa.list_(pa.int64()))], ["c", "low"])
+                [pa.array([f[0] for f in found], pa.int64()), pa.array([f[1] for f in found], pa.int64()), pa.array([0] * len(found), pa.int32()),
+                 pa.array(below, pa.int32()), pa.array(low, pa.list_(pa.int64()))], ["c", "n", "spare", "below", "low"])
 
-    return _texts_of(docs, classes, wanted).mapInArrow(rows, "c long, low array<long>").dropDuplicates(["c"])
+    made = _texts_of(docs, classes, wanted).mapInArrow(rows, "c long, n long, spare int, below int, low array<long>")
+    return made.dropDuplicates(["c"])
 
 
 def _sets_of(docs: DataFrame, classes: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
@@ -465,7 +482,7 @@ def similar_documents(docs: DataFrame, size: int = SHINGLE, percent: int = PERCE
     """
     rows = _set_rows(docs, size, percent)  # made twice: to keep the sets' low n-grams would cost half the input in disk
     classes = stored(rows.where("n > 0").groupBy("one", "two", "n").agg(
-        F.min("doc_id").alias("least_id"), F.first("spare").alias("spare"), F.first("low").alias("low")).withColumn(
+        F.min("doc_id").alias("least_id"), F.first("spare").alias("spare"), F.first("below").alias("below"), F.first("low").alias("low")).withColumn(
         "c", F.monotonically_increasing_id()), "classes")
     whole, counts, heavy = heavy_last(docs, classes, size, percent)
     prefixes = stored(short_lists(whole, percent, counts, heavy), "prefixes")
