@@ -126,7 +126,9 @@ def _light_first(own: np.ndarray, heavy: np.ndarray, percent: int) -> np.ndarray
 
 
 def _without_heavy(classes: DataFrame, heavy: np.ndarray) -> DataFrame:
-    """(c, n, spare, below, low) without heavy n-grams; where light ones do not fill the prefix, `spare` is negative."""
+    """The classes without heavy n-grams; where light ones do not fill the prefix, `spare` is negative."""
+    names = ["c", "least_id", "one", "two", "n", "spare", "below", "low"]
+
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             low = batch.column("low")
@@ -136,10 +138,10 @@ def _without_heavy(classes: DataFrame, heavy: np.ndarray) -> DataFrame:
             ends = np.concatenate([[0], np.cumsum(low.value_lengths().to_numpy())])
             held = pa.array((np.diff(ends) - np.diff(kept[ends])).astype(np.int32))
             yield pa.RecordBatch.from_arrays(
-                [batch.column("c"), batch.column("n"), pc.subtract(batch.column("spare"), held), pc.subtract(batch.column("below"), held),
-                 pa.ListArray.from_arrays(pa.array(kept[ends].astype(np.int32)), pa.array(grams[~there]))], ["c", "n", "spare", "below", "low"])
+                [*(batch.column(k) for k in names[:5]), pc.subtract(batch.column("spare"), held), pc.subtract(batch.column("below"), held),
+                 pa.ListArray.from_arrays(pa.array(kept[ends].astype(np.int32)), pa.array(grams[~there]))], names)
 
-    return classes.select("c", "n", "spare", "below", "low").mapInArrow(rows, "c long, n long, spare int, below int, low array<long>")
+    return classes.select(*names).mapInArrow(rows, classes.select(*names).schema)
 
 
 def heavy_last(docs: DataFrame, classes: DataFrame, size: int, percent: int) -> tuple[DataFrame, DataFrame, np.ndarray]:
@@ -156,8 +158,10 @@ def heavy_last(docs: DataFrame, classes: DataFrame, size: int, percent: int) ->
             break
         heavy = more
         light = _without_heavy(classes, heavy)
-        refilled = stored(_refilled(docs, classes, light.where("spare < 0"), size, percent, heavy), "refilled")
-        whole = light.where("spare >= 0").unionByName(refilled)
+        # Stored, so that its size is known before texts are joined: a small one is broadcast, and the texts stay where they are.
+        wanted = stored(light.where("spare < 0").select("c", "least_id", "one", "two"), "wanted")
+        refilled = stored(_refilled(docs, wanted, size, percent, heavy), "refilled")
+        whole = light.where("spare >= 0").select(*refilled.columns).unionByName(refilled)
         counts = _shared(whole)
     return whole, counts, heavy
 
@@ -376,9 +380,8 @@ def _search(members: DataFrame, keys: list[str], sets: DataFrame, percent: int)
     return rows.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(run, "a long, b long")
 
 
-def _texts_of(docs: DataFrame, classes: DataFrame, wanted: DataFrame) -> DataFrame:
-    """(c, one, two, text) of the documents that may show the sets of the wanted classes."""
-    found = classes.join(wanted.select("c").distinct(), "c", "left_semi").select("c", "least_id", "one", "two")
+def _texts_of(docs: DataFrame, found: DataFrame) -> DataFrame:
+    """(c, one, two, text) of the documents that may show the sets of classes (c, least_id, one, two)."""
     texts = docs.select("doc_id", F.col("text").cast("string").alias("text"))
     return texts.join(found, F.col("doc_id").eqNullSafe(F.col("least_id"))).select("c", "one", "two", "text")
 
@@ -396,7 +399,7 @@ def _fresh_sets(batch: pa.RecordBatch, seen: set[int], size: int) -> Iterator[tu
             yield int(classes[i]), own
 
 
-def _refilled(docs: DataFrame, classes: DataFrame, wanted: DataFrame, size: int, percent: int, heavy: np.ndarray) -> DataFrame:
+def _refilled(docs: DataFrame, wanted: DataFrame, size: int, percent: int, heavy: np.ndarray) -> DataFrame:
     """(c, n, spare, below, low) of the wanted classes: as many n-grams as the prefix has, heavy ones last. `below` counts light ones."""
     cut = np.uint64(cut_of(percent))
 
@@ -410,7 +413,7 @@ def _refilled(docs: DataFrame, classes: DataFrame, wanted: DataFrame, size: int,
                 [pa.array([f[0] for f in found], pa.int64()), pa.array([f[1] for f in found], pa.int64()), pa.array([0] * len(found), pa.int32()),
                  pa.array(below, pa.int32()), pa.array(low, pa.list_(pa.int64()))], ["c", "n", "spare", "below", "low"])
 
-    made = _texts_of(docs, classes, wanted).mapInArrow(rows, "c long, n long, spare int, below int, low array<long>")
+    made = _texts_of(docs, wanted).mapInArrow(rows, "c long, n long, spare int, below int, low array<long>")
     return made.dropDuplicates(["c"])
 
 
@@ -425,7 +428,8 @@ def _sets_of(docs: DataFrame, classes: DataFrame, wanted: DataFrame, size: int)
                  pa.array([x.tobytes() for _, x in found], pa.binary()), pa.array([bitmap(x) for _, x in found], pa.binary())],
                 ["c", "n", "grams", "bits"])
 
-    return _texts_of(docs, classes, wanted).mapInArrow(rows, "c long, n long, grams binary, bits binary")
+    found = classes.join(wanted.select("c").distinct(), "c", "left_semi").select("c", "least_id", "one", "two")
+    return _texts_of(docs, found).mapInArrow(rows, "c long, n long, grams binary, bits binary")
 
 
 def _blocks(counts: DataFrame, name: str) -> DataFrame:
