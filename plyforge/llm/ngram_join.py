@@ -18,7 +18,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -144,6 +144,11 @@ def _without_heavy(classes: DataFrame, heavy: np.ndarray) -> DataFrame:
     return classes.select(*names).mapInArrow(rows, classes.select(*names).schema)
 
 
+def _heavy_table(spark: SparkSession, heavy: np.ndarray) -> DataFrame:
+    """Half a megabyte at most, see `MOST_HEAVY`."""
+    return spark.createDataFrame(pa.table({"h": pa.array(heavy, pa.int64())}))
+
+
 def heavy_last(docs: DataFrame, classes: DataFrame, size: int, percent: int) -> tuple[DataFrame, DataFrame, np.ndarray]:
     """The classes with prefixes in which heavy n-grams come last, the counts of these prefixes, and the heavy n-grams.
 
@@ -151,7 +156,8 @@ def heavy_last(docs: DataFrame, classes: DataFrame, size: int, percent: int) ->
     heavy in turn, hence the rounds. Where the heavy n-grams end decides the length of the lists alone: any set of them is right.
     """
     whole, heavy = classes, np.zeros(0, np.int64)
-    counts = _shared(classes)
+    first = counts = _shared(classes)
+    below = (F.col("h") >= 0) & (F.col("h") < cut_of(percent))
     for _ in range(ROUNDS):
         more = _heaviest(counts, heavy)
         if len(more) == len(heavy):
@@ -162,7 +168,11 @@ def heavy_last(docs: DataFrame, classes: DataFrame, size: int, percent: int) ->
         wanted = stored(light.where("spare < 0").select("c", "least_id", "one", "two"), "wanted")
         refilled = stored(_refilled(docs, wanted, size, percent, heavy), "refilled")
         whole = light.where("spare >= 0").select(*refilled.columns).unionByName(refilled)
-        counts = _shared(whole)
+        # Every class still has its light n-grams below the cut, so their counts stand; only the other n-grams are counted again.
+        last = F.broadcast(_heavy_table(classes.sparkSession, heavy))
+        moved = _entries(whole).where(~below).unionByName(_entries(refilled).where(below).join(last, "h", "left_semi"))
+        moved = moved.groupBy("h").agg(F.count("*").alias("df")).where("df > 1")
+        counts = stored(first.where(below).join(last, "h", "left_anti").unionByName(moved), "counts")
     return whole, counts, heavy
 
 
@@ -177,8 +187,7 @@ def short_lists(
     """
     cut = cut_of(percent)
     counts = _shared(classes) if counts is None else counts
-    last = classes.sparkSession.createDataFrame(pa.table({"h": pa.array(heavy, pa.int64()), "heavy": pa.repeat(True, len(heavy))}))
-    marked = counts.join(F.broadcast(last), "h", "left")  # half a megabyte at most, see MOST_HEAVY
+    marked = counts.join(F.broadcast(_heavy_table(classes.sparkSession, heavy).withColumn("heavy", F.lit(True))), "h", "left")
     below = (F.col("h") >= 0) & (F.col("h") < cut)
     # Hashes are signed here: those from 2^63 on are negative and come last.
     place = F.when(F.col("heavy"), 2 ** 62 + 2).when(below, F.col("df")).when(F.col("h") >= 0, 2 ** 62).otherwise(2 ** 62 + 1)
