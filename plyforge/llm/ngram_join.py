@@ -73,29 +73,54 @@ def _signed(values: np.ndarray) -> np.ndarray:
     return values.astype(np.uint64).view(np.int64)
 
 
-def _set_rows(docs: DataFrame, size: int, percent: int) -> DataFrame:
-    """doc_id, n, two hashes of the set, its low n-grams, how many more of these there are than the prefix needs, and how many lie below the cut."""
+def _prints(own: np.ndarray) -> tuple[int, int]:
+    """Two hashes of a set."""
+    mixed = mix(own + np.uint64(77))
+    one, two = np.bitwise_xor.reduce(mixed, initial=0, keepdims=True), np.add.reduce(mixed * np.uint64(0x2545F4914F6CDD1D), keepdims=True)
+    return int(_signed(one)[0]), int(_signed(two)[0])
+
+
+def _among(values: np.ndarray, heavy: np.ndarray) -> np.ndarray:
+    """Which of the values are in the sorted array."""
+    if not len(heavy):
+        return np.zeros(len(values), bool)
+    return heavy[np.minimum(np.searchsorted(heavy, values), len(heavy) - 1)] == values
+
+
+def _set_rows(docs: DataFrame, size: int, percent: int, heavy: np.ndarray | None = None) -> DataFrame:
+    """doc_id, n, two hashes of the set, its low n-grams, how many more of these there are than the prefix needs, and how many lie below the cut.
+
+    Given heavy n-grams, only the rows that would have fewer light ones in `low` than the prefix needs: `low` is then that prefix, light n-grams
+    first, and `below` counts light ones. Each row's own text tells, so no text moves to find these.
+    """
     kind, cut = docs.schema["doc_id"].dataType.simpleString(), np.uint64(cut_of(percent))
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            n, one, two, spare, below, low = [], [], [], [], [], []
-            for own in shingle_sets(batch.column("text"), size):
-                n.append(len(own))
-                mixed = mix(own + np.uint64(77))
-                one.append(np.bitwise_xor.reduce(mixed, initial=0))
-                two.append(np.add.reduce(mixed * np.uint64(0x2545F4914F6CDD1D), dtype=np.uint64) if len(own) else 0)
+            at, n, one, two, spare, below, low = [], [], [], [], [], [], []
+            for i, own in enumerate(shingle_sets(batch.column("text"), size)):
                 prefix = len(own) - least_overlap(len(own), percent) + 1 if len(own) else 0
-                below.append(int(np.searchsorted(own, cut)))
-                taken = max(below[-1], prefix)
+                under = int(np.searchsorted(own, cut))
+                taken = max(under, prefix)
+                chosen = own[:taken]
+                if heavy is not None:
+                    light = ~_among(_signed(chosen), heavy)
+                    if light.sum() >= prefix:
+                        continue
+                    chosen, taken, under = _light_first(own, heavy, prefix), prefix, int(light[:under].sum())
+                at.append(i)
+                n.append(len(own))
+                prints = _prints(own)
+                one.append(prints[0])
+                two.append(prints[1])
+                below.append(under)
                 spare.append(taken - prefix)
-                low.append(own[:taken])
+                low.append(chosen)
             ends = np.concatenate([[0], np.cumsum([len(x) for x in low])]).astype(np.int32)
             flat = _signed(np.concatenate([np.zeros(0, np.uint64), *low]))
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(n, pa.int64()), pa.array(_signed(np.array(one, np.uint64))),
-                 pa.array(_signed(np.array(two, np.uint64))), pa.array(spare, pa.int32()), pa.array(below, pa.int32()),
-                 pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))],
+                [batch.column("doc_id").take(pa.array(at, pa.int64())), pa.array(n, pa.int64()), pa.array(one, pa.int64()), pa.array(two, pa.int64()),
+                 pa.array(spare, pa.int32()), pa.array(below, pa.int32()), pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))],
                 ["doc_id", "n", "one", "two", "spare", "below", "low"])
 
     texts = docs.select("doc_id", F.col("text").cast("string").alias("text"))
@@ -118,11 +143,11 @@ def _heaviest(counts: DataFrame, known: np.ndarray) -> np.ndarray:
     return np.sort(np.concatenate([known, fresh]))
 
 
-def _light_first(own: np.ndarray, heavy: np.ndarray, percent: int) -> np.ndarray:
-    """The prefix of a set whose n-grams below the cut do not fill it: light n-grams by hash, then heavy ones."""
-    last = np.isin(_signed(own), heavy)
+def _light_first(own: np.ndarray, heavy: np.ndarray, prefix: int) -> np.ndarray:
+    """The prefix of a set: light n-grams by hash, then heavy ones."""
+    last = _among(_signed(own), heavy)
     behind = np.sort(_signed(own[last])).view(np.uint64)
-    return np.concatenate([own[~last], behind])[:len(own) - least_overlap(len(own), percent) + 1]
+    return np.concatenate([own[~last], behind])[:prefix]
 
 
 def _without_heavy(classes: DataFrame, heavy: np.ndarray) -> DataFrame:
@@ -133,7 +158,7 @@ def _without_heavy(classes: DataFrame, heavy: np.ndarray) -> DataFrame:
         for batch in batches:
             low = batch.column("low")
             grams = low.flatten().to_numpy()
-            there = heavy[np.minimum(np.searchsorted(heavy, grams), len(heavy) - 1)] == grams
+            there = _among(grams, heavy)
             kept = np.concatenate([[0], np.cumsum(~there)])
             ends = np.concatenate([[0], np.cumsum(low.value_lengths().to_numpy())])
             held = pa.array((np.diff(ends) - np.diff(kept[ends])).astype(np.int32))
@@ -164,9 +189,10 @@ def heavy_last(docs: DataFrame, classes: DataFrame, size: int, percent: int) ->
             break
         heavy = more
         light = _without_heavy(classes, heavy)
-        # Stored, so that its size is known before texts are joined: a small one is broadcast, and the texts stay where they are.
-        wanted = stored(light.where("spare < 0").select("c", "least_id", "one", "two"), "wanted")
-        refilled = stored(_refilled(docs, wanted, size, percent, heavy), "refilled")
+        filled = _set_rows(docs, size, percent, heavy).groupBy("one", "two", "n").agg(
+            F.first("spare").alias("spare"), F.first("below").alias("below"), F.first("low").alias("low"))
+        refilled = stored(light.where("spare < 0").select("c", "one", "two", "n").join(filled, ["one", "two", "n"]).select(
+            "c", "n", "spare", "below", "low"), "refilled")
         whole = light.where("spare >= 0").select(*refilled.columns).unionByName(refilled)
         # Every class still has its light n-grams below the cut, so their counts stand; only the other n-grams are counted again.
         last = F.broadcast(_heavy_table(classes.sparkSession, heavy))
@@ -399,31 +425,11 @@ def _fresh_sets(batch: pa.RecordBatch, seen: set[int], size: int) -> Iterator[tu
     """The sets of the classes that have not been seen; a document with the same id may have another text."""
     fresh = [i for i, c in enumerate(batch.column("c").to_pylist()) if c not in seen]
     batch = batch.take(pa.array(fresh, pa.int64()))
-    one, two, classes = (batch.column(k).to_numpy() for k in ("one", "two", "c"))
+    one, two, classes = (batch.column(k).to_pylist() for k in ("one", "two", "c"))
     for i, own in enumerate(shingle_sets(batch.column("text"), size)):
-        mixed = mix(own + np.uint64(77))
-        if len(own) and classes[i] not in seen and _signed(np.bitwise_xor.reduce(mixed, keepdims=True))[0] == one[i] and _signed(
-                np.add.reduce(mixed * np.uint64(0x2545F4914F6CDD1D), keepdims=True))[0] == two[i]:
-            seen.add(int(classes[i]))
-            yield int(classes[i]), own
-
-
-def _refilled(docs: DataFrame, wanted: DataFrame, size: int, percent: int, heavy: np.ndarray) -> DataFrame:
-    """(c, n, spare, below, low) of the wanted classes: as many n-grams as the prefix has, heavy ones last. `below` counts light ones."""
-    cut = np.uint64(cut_of(percent))
-
-    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: set[int] = set()  # repeated rows of a document come to one task, or to a few if Spark splits them
-        for batch in batches:
-            found = [(c, len(own), _light_first(own, heavy, percent)) for c, own in _fresh_sets(batch, seen, size)]
-            low = [_signed(x) for _, _, x in found]
-            below = [int((x[~np.isin(y, heavy)] < cut).sum()) for (_, _, x), y in zip(found, low, strict=True)]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([f[0] for f in found], pa.int64()), pa.array([f[1] for f in found], pa.int64()), pa.array([0] * len(found), pa.int32()),
-                 pa.array(below, pa.int32()), pa.array(low, pa.list_(pa.int64()))], ["c", "n", "spare", "below", "low"])
-
-    made = _texts_of(docs, wanted).mapInArrow(rows, "c long, n long, spare int, below int, low array<long>")
-    return made.dropDuplicates(["c"])
+        if len(own) and classes[i] not in seen and _prints(own) == (one[i], two[i]):
+            seen.add(classes[i])
+            yield classes[i], own
 
 
 def _sets_of(docs: DataFrame, classes: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
