@@ -222,6 +222,17 @@ def test_ngram_heavy_last(spark, monkeypatch, heavy, most):
         assert got == plain.components({i: plain.shingles(t, size) for i, t in enumerate(rows)}, percent)
 
 
+def test_ngram_refill_of_odd_rows(spark, monkeypatch):
+    """Null, empty and repeated rows, and one id with several texts, in a table whose shared n-grams are all heavy."""
+    monkeypatch.setattr(ngram_join, "HEAVY", 1)
+    base = [f"w{i}" for i in range(40)]
+    rows = [(1, None), (2, ""), (3, " \n"), (4, "a"), (5, "a"), (6, " ".join(base)), (6, " ".join(base)), (7, " ".join([*base, "x"])),
+            (8, " ".join(base[:6])), (8, " ".join(base[3:9])), (9, " ".join(base[:6])), (10, " ".join(base[3:9])), (11, " ".join(base[6:20]))]
+    got = sorted(tuple(r) for r in ngram_join.similar_documents(spark.createDataFrame(rows, "doc_id long, text string")).collect())
+    assert got == [(1, 0, 1), (2, 0, 2), (3, 0, 3), (4, 1, 4), (5, 1, 4), (6, 38, 6), (6, 38, 6), (7, 39, 6),
+                   (8, 4, 8), (8, 4, 8), (9, 4, 8), (10, 4, 8), (11, 12, 11)]
+
+
 def test_ngram_common_phrase_makes_no_long_list(spark, monkeypatch):
     """A phrase that all of many short documents share stands behind their own words, wherever its hash lies."""
     monkeypatch.setattr(ngram_join, "HEAVY", 50)
