@@ -93,6 +93,25 @@ def test_long_texts_teach():
     assert [len(x) // 4 for x in got.column("words").to_pylist()] == [7000, 0]
 
 
+@pytest.mark.parametrize("shard_docs", [4096, 300])
+def test_every_labelled_document_teaches(spark, monkeypatch, shard_docs):
+    """Insults that only occur beyond the first 2,000 toxic documents in hash order, or only in long documents."""
+    monkeypatch.setattr(toxicity, "SHARD_DOCS", shard_docs, raising=False)
+    ids = [i for i in range(9000) if zlib.crc32(str(i).encode()) % 3 != 1]
+    order = [r[0] for r in spark.createDataFrame([(i,) for i in ids], "i long").orderBy(F.xxhash64(F.lit(11), "i")).collect()]
+    toxic = [i for i in order if i % 2]
+    insult = {i: "early" if k < 2000 else "grue" if k < 2400 else "vorpal" for k, i in enumerate(toxic[:2450])}
+    rows = []
+    for i in ids:
+        rng = random.Random(i)
+        text = [f"w{rng.randrange(50)}" for _ in range(8100 if insult.get(i) == "vorpal" else 5)]
+        rows.append((i, " ".join([*text, insult[i]] if i in insult else text), int(i in insult)))
+    table = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    model = toxicity.train(table.select("doc_id", "text"), table.select("doc_id", "toxic"))
+    scores = toxicity.score_column(model, pa.array(["w1 w2 grue w3", "w1 w2 early w3", "w1 w2 vorpal w3", "w1 w2 w3 w4"]))
+    assert (scores[:3] >= toxicity.THRESHOLD).all() and scores[3] < toxicity.THRESHOLD
+
+
 def test_viterbi_in_blocks():
     rng = np.random.default_rng(3)
     model = chat.Model(rng.random(6), rng.random((6, 6)), rng.random((6, chat.SYMBOLS)))
