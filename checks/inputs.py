@@ -17,28 +17,48 @@ from plyforge.schemas import TRAIN_SEED
 from plyforge.sources.paths import scratch
 
 FILE_ROWS = 512
+#: Rows of a task that derives inputs, about.
+TASK_ROWS = 1 << 16
 
 
 def table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
-    """A given table, spread over the cores, since deriving costs more than reading."""
+    """A given table, spread over the cores, since deriving costs more than reading; the tasks grow in number, not in size."""
     df = spark.read.parquet(f"{sf_dir}/{name}.parquet").select(*columns)
-    return df.repartition(spark.sparkContext.defaultParallelism)
+    return df.repartition(max(spark.sparkContext.defaultParallelism, -(-df.count() // TASK_ROWS)))
+
+
+def comments() -> tuple[list[str], int, int, int]:
+    """All comments that a half-move can have: scores by the remainder of 1999 they come from, also negative ones, then a clock, mates and far
+    too large scores; and where these three begin."""
+    scores = []
+    for remainder in range(-1998, 1999):
+        cp = remainder - 999
+        scores.append(f"{'-' if cp < 0 else ''}{abs(cp) // 100}.{abs(cp) % 100:02d}")
+    mates = [f"#{sign}{n}" for sign in ("", "-") for n in range(1, 6)]
+    evals = [*scores, *mates, "99999999.00", "-99999999.00"]
+    texts = [f"{{ [%eval {e}] }}" for e in evals]
+    return [*texts, "{ [%clk 0:03:00] }"], len(texts), len(scores), len(scores) + len(mates)
 
 
 def comment(k: Column, p: Column) -> Column:
     """Comment of half-move `p`: an evaluation in pawns, now and then far too large, a mate distance, or only a clock."""
-    cp = (k * 31 + p * 17) % 1999 - 999
-    size = F.abs(cp)
-    pawns = F.concat(
-        F.when(cp < 0, "-").otherwise(""), F.floor(size / 100).cast("string"), F.lit("."),
-        F.lpad((size % 100).cast("string"), 2, "0"))
-    mate = F.concat(F.when(k % 2 == 1, "#-").otherwise("#"), (p % 5 + 1).cast("string"))
-    return (
-        F.when((k + p * 3) % 13 == 0, "{ [%clk 0:03:00] }")
-        .when((k + p) % 23 == 0, F.concat(F.lit("{ [%eval "), mate, F.lit("] }")))
-        .when((k + p) % 101 == 0, F.concat(F.lit("{ [%eval "), F.when(k % 2 == 1, "-").otherwise(""), F.lit("99999999.00] }")))
-        .otherwise(F.concat(F.lit("{ [%eval "), pawns, F.lit("] }")))
-    )
+    texts, clock, mates, large = comments()
+    # A look-up costs less than putting a text together for every half-move.
+    odd = F.when(k % 2 == 1, 1).otherwise(0)
+    return F.when(k.isNotNull(), F.element_at(F.array(*[F.lit(t) for t in texts]), (
+        F.when((k + p * 3) % 13 == 0, clock)
+        .when((k + p) % 23 == 0, odd * 5 + p % 5 + mates)
+        .when((k + p) % 101 == 0, odd + large)
+        .otherwise((k * 31 + p * 17) % 1999 + 1998)
+    ).cast("int") + 1))
+
+
+def half_moves(broken: bool) -> list[list[str]]:
+    """The half-moves of each template game as they stand in a movetext, with numbers before White's."""
+    games = [g.split(" ") for g in GAMES]
+    if broken:
+        games = [[*g[:4], "Zz9", *g[5:]] for g in games]
+    return [[f"{i // 2 + 1}. {san}" if i % 2 == 0 else san for i, san in enumerate(g)] for g in games]
 
 
 def tagged_games(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -59,23 +79,34 @@ def tagged_games(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def games(spark: SparkSession, sf_dir: str, broken: bool = False) -> DataFrame:
-    """The games table. `broken` writes nonsense for the fifth half-move of every 37th game."""
+def with_movetext(tagged: DataFrame, broken: bool = False) -> DataFrame:
+    """Games with their movetext. `broken` writes nonsense for the fifth half-move of every 37th game."""
     k = F.col("game_ord")
-    moves = F.split(F.element_at(F.array(*[F.lit(g) for g in GAMES]), (k % len(GAMES) + 1).cast("int")), " ")
 
-    def half_move(san: Column, i: Column) -> Column:
-        p = i + 1
-        number = F.when(i % 2 == 0, F.concat((F.floor(i / 2) + 1).cast("string"), F.lit(". "))).otherwise("")
-        text = F.concat(number, F.when((p == 5) & (k % 37 == 0), "Zz9").otherwise(san) if broken else san)
-        return F.when(k % 11 == 0, text).otherwise(F.concat_ws(" ", text, comment(k, p)))
+    def of_template(*values: list) -> Column:
+        """The game's template out of the whole ones, or out of the broken ones."""
+        at = (k % len(GAMES) + 1).cast("int")
+        whole, other = (F.element_at(F.array(*[F.array(*map(F.lit, v)) if isinstance(v, list) else F.lit(v) for v in each]), at) for each in values)
+        return F.when(k % 37 == 0, other).otherwise(whole) if broken else whole
 
-    movetext = F.concat_ws(" ", F.array_join(F.transform(moves, half_move), " "), "result")
-    return evaluated_once(tagged_games(spark, sf_dir), {"movetext": movetext})
+    plain, other = half_moves(False), half_moves(True)
+    annotated = F.array_join(F.transform(
+        of_template(plain, other), lambda text, i: F.concat_ws(" ", text, comment(k, i + 1))), " ")
+    bare = of_template(*([" ".join(g) for g in each] for each in (plain, other)))
+    return evaluated_once(tagged, {"movetext": F.concat_ws(" ", F.when(k % 11 == 0, bare).otherwise(annotated), "result")})
+
+
+def games(spark: SparkSession, sf_dir: str, broken: bool = False) -> DataFrame:
+    """The games table."""
+    return with_movetext(tagged_games(spark, sf_dir), broken)
 
 
 def pgn_records(spark: SparkSession, sf_dir: str, broken: bool = False) -> DataFrame:
     """The same games as PGN text."""
+    return as_pgn(games(spark, sf_dir, broken))
+
+
+def as_pgn(found: DataFrame) -> DataFrame:
 
     def line(name: str, value: Column) -> Column:
         return F.concat(F.lit(f'[{name} "'), value, F.lit('"]\n'))
@@ -87,15 +118,16 @@ def pgn_records(spark: SparkSession, sf_dir: str, broken: bool = False) -> DataF
         line("Event", F.lit("Rated game")), line("Site", F.col("game_id")), line("Result", F.col("result")),
         line("WhiteElo", rating("white_elo")), line("BlackElo", rating("black_elo")),
         F.lit("\n"), F.col("movetext"))
-    return games(spark, sf_dir, broken).select("file", "game_ord", text.alias("pgn"))
+    return found.select("file", "game_ord", text.alias("pgn"))
 
 
 def archive_folder(spark: SparkSession, sf_dir: str, broken: bool = False) -> str:
     """The PGN text as compressed archives in key order, in a new scratch folder."""
     folder = scratch(spark, "archives")
+    # The tags are put in order before the text is made, so that no text moves.
+    ordered = tagged_games(spark, sf_dir).repartitionByRange("game_ord").sortWithinPartitions("game_ord")
     (
-        pgn_records(spark, sf_dir, broken)
-        .repartitionByRange("game_ord").sortWithinPartitions("game_ord")
+        as_pgn(with_movetext(ordered, broken))
         .select(F.concat("pgn", F.lit("\n\n")))
         .write.option("compression", "gzip").text(folder)
     )
