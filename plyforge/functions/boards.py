@@ -124,11 +124,11 @@ def token_array(tokens: Column) -> Column:
 
 
 def fen_text(
-    board: Column, white: Column, castling: Column, en_passant: Column, halfmove_clock: Column, ply: Column
+    placement: Column, white: Column, castling: Column, en_passant: Column, halfmove_clock: Column, ply: Column
 ) -> Column:
     """A full FEN from the columns of a replayed half-move."""
     return F.concat_ws(
-        " ", board_to_placement(board), F.when(white, "w").otherwise("b"), castling, en_passant,
+        " ", placement, F.when(white, "w").otherwise("b"), castling, en_passant,
         halfmove_clock.cast("string"), (F.floor(ply / 2) + 1).cast("string"),
     )
 

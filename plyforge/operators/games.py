@@ -94,17 +94,17 @@ def main_line(movetext: Column) -> Column:
     return F.when(no_rest_of_line.contains("("), outside).otherwise(no_rest_of_line)
 
 
-def parse_movetext(games: DataFrame) -> DataFrame:
+def parse_movetext(games: DataFrame, comments: bool = True) -> DataFrame:
     """Adds `moves` and, aligned with it, `comments`: the text between a half-move and the next one.
 
-    Replaces `movetext`. Comments before the first move belong to no half-move and are dropped.
+    Replaces `movetext`. Comments before the first move belong to no half-move and are dropped. A job that reads the moves alone
+    saves a pass over the text without `comments`.
     """
     first_move = F.regexp_replace(main_line(F.col("movetext")), rf"^(?:{BETWEEN})*+", "")
     line = evaluated_once(games, {"_line": first_move}).drop("movetext")
-    return evaluated_once(line, {
-        "moves": F.regexp_extract_all("_line", F.lit(HALF_MOVE), 1),
-        "comments": F.regexp_extract_all("_line", F.lit(HALF_MOVE), 2),
-    }).drop("_line")
+    wanted = {"moves": 1, "comments": 2} if comments else {"moves": 1}
+    return evaluated_once(
+        line, {name: F.regexp_extract_all("_line", F.lit(HALF_MOVE), group) for name, group in wanted.items()}).drop("_line")
 
 
 def filter_commented(games: DataFrame) -> DataFrame:

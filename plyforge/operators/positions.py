@@ -88,9 +88,11 @@ def game_positions(games: DataFrame, skip: int = SKIP_HALF_MOVES, min_pieces: in
 
 
 def with_fen(positions: DataFrame) -> DataFrame:
+    """Adds the FEN; a `placement` from the replay is used as it is."""
     col = F.col
+    placement = col("placement") if "placement" in positions.columns else boards.board_to_placement(col("board"))
     return positions.withColumn("fen", boards.fen_text(
-        col("board"), col("white_to_move"), col("castling"), col("en_passant"), col("halfmove_clock"), col("ply")))
+        placement, col("white_to_move"), col("castling"), col("en_passant"), col("halfmove_clock"), col("ply")))
 
 
 def to_mover_pov(positions: DataFrame) -> DataFrame:

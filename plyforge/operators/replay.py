@@ -7,6 +7,7 @@ Squares run a8=0 ... h1=63; square 64 stands for "off the board". Boards are ASC
 """
 
 import re
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
@@ -272,7 +273,26 @@ def replay(moves, lengths, san):
     return out, by_game
 
 
-def _replay_batches(batches):
+def placements(boards):
+    """FEN placements of boards (rows of 64 letters), as a string array."""
+    n = len(boards)
+    letters = np.full((n, 8, 9), ord("/"), np.uint8)
+    letters[:, :, :8] = boards.reshape(n, 8, 8)
+    kept, run = np.ones((n, 8, 9), bool), np.zeros((n, 8), np.uint8)
+    kept[:, 7, 8] = False
+    for column in range(8):
+        here = letters[:, :, column]
+        empty = here == EMPTY
+        run = (run + 1) * empty
+        # The last square of an empty run becomes its length, the others go.
+        kept[:, :, column] = ~empty | (letters[:, :, column + 1] != EMPTY)
+        np.copyto(here, run + ord("0"), where=empty)
+    offsets = np.zeros(n + 1, np.int32)
+    np.cumsum(kept.sum((1, 2)), out=offsets[1:])
+    return pa.StringArray.from_buffers(n, pa.py_buffer(offsets), pa.py_buffer(letters[kept]))
+
+
+def _replay_batches(batches, placement=False):
     for batch in batches:
         index = batch.schema.get_field_index("moves")
         games = batch.column(index)
@@ -295,6 +315,8 @@ def _replay_batches(batches):
             "repeats": pa.array(out["repeats"][keep]),
             "stuck": pa.array(out["stuck"][keep]),
         }
+        if placement:
+            columns["placement"] = placements(boards)
         plies = pa.ListArray.from_arrays(
             pa.array(np.concatenate([[0], np.cumsum(kept)]), pa.int32()),
             pa.StructArray.from_arrays(list(columns.values()), list(columns)))
@@ -304,16 +326,18 @@ def _replay_batches(batches):
             [batch.schema.field(i).name for i in rest] + ["plies", "failed_ply"])
 
 
-def replay_moves(games: DataFrame) -> DataFrame:
+def replay_moves(games: DataFrame, placement: bool = False) -> DataFrame:
     """Replaces `moves` by `plies`, and adds `failed_ply`: the first half-move that is not legal, else 0.
 
     A game that fails has no plies. All other columns pass through Python, so carry only what is needed.
+    `placement` adds the FEN placement to each half-move, for jobs that write a FEN for all of them.
     """
+    ply = T.StructType([*PLY.fields, T.StructField("placement", T.StringType())]) if placement else PLY
     fields = [f for f in games.schema.fields if f.name != "moves"]
     schema = T.StructType([
-        *fields, T.StructField("plies", T.ArrayType(PLY)), T.StructField("failed_ply", T.IntegerType()),
+        *fields, T.StructField("plies", T.ArrayType(ply)), T.StructField("failed_ply", T.IntegerType()),
     ])
-    return games.mapInArrow(_replay_batches, schema)
+    return games.mapInArrow(partial(_replay_batches, placement=placement), schema)
 
 
 def legal_games(replayed: DataFrame, mode: str = "failfast") -> DataFrame:
