@@ -1,8 +1,10 @@
 """The registered queries. Each reads its whole tables."""
 
+import shutil
 from collections.abc import Callable
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -45,8 +47,8 @@ def parsed(spark: SparkSession, sf: str) -> DataFrame:
 
 def replayed(spark: SparkSession, sf: str) -> DataFrame:
     """Every game replayed, whatever its rating or result."""
-    slim = parsed(spark, sf).select("game_id", "moves")
-    return legal_games(replay_moves(slim))
+    slim = games.parse_movetext(inputs.games(spark, sf), comments=False).select("game_id", "moves")
+    return legal_games(replay_moves(slim, placement=True))
 
 
 def plies(replayed_games: DataFrame) -> DataFrame:
@@ -270,29 +272,58 @@ def metrics_history(spark, sf):
         F.round(F.col(c).cast("double"), 10).alias(c) for c in METRICS[2:]])
 
 
+def local_folder(spark, folder: str) -> str:
+    """A new folder as Python sees it."""
+    require_empty(spark, folder)
+    fs, path = file_system(spark, folder)
+    return fs.makeQualified(path).toString().removeprefix("file:")
+
+
 def archives_by_file(spark, sf) -> str:
-    """Each file of the PGN records as one archive of that name, compressed with zstd."""
+    """Each file of the PGN records as one archive of that name, compressed with zstd.
+
+    The games of a file are compressed in parts, side by side and in order; one task then strings the parts together, as zstd frames may
+    follow one another. No task holds or sorts a file.
+    """
     folder = scratch(spark, "zst")
-    require_empty(spark, folder)
-    address = file_system(spark, folder)[0].makeQualified(file_system(spark, folder)[1]).toString().removeprefix("file:")
+    address, aside = local_folder(spark, folder), local_folder(spark, scratch(spark, "parts"))
 
-    def write(batches):
+    def compress(batches):
         import zstandard
+        from pyspark import TaskContext
 
-        out, name = None, None
+        out, name, number = None, None, TaskContext.get().partitionId()
         for batch in batches:
             for file, pgn in zip(batch.column("file").to_pylist(), batch.column("pgn").to_pylist(), strict=True):
-                if file != name:
+                if out is None or file != name:
                     if out is not None:
                         out.close()
-                    name, out = file, zstandard.open(f"{address}/{file}.pgn.zst", "wb")
+                    name, part = file, f"{aside}/{number:08d}-{file}"
+                    out = zstandard.open(part, "wb")
+                    yield pa.RecordBatch.from_pydict({"file": [file], "part": [part]})
                 out.write(f"{pgn}\n\n".encode())
         if out is not None:
             out.close()
+
+    def string(batches):
+        out, name = None, None
+        for batch in batches:
+            for file, part in zip(batch.column("file").to_pylist(), batch.column("part").to_pylist(), strict=True):
+                if out is None or file != name:
+                    if out is not None:
+                        out.close()
+                    name, out = file, open(f"{address}/{file}.pgn.zst", "wb")
+                with open(part, "rb") as source:
+                    shutil.copyfileobj(source, out)
+        if out is not None:
+            out.close()
         yield from ()
 
-    records = inputs.pgn_records(spark, sf).repartition("file").sortWithinPartitions("file", "game_ord")
-    records.mapInArrow(write, "file string").write.format("noop").mode("overwrite").save()
+    ordered = inputs.tagged_games(spark, sf).repartitionByRange("file", "game_ord").sortWithinPartitions("file", "game_ord")
+    records = inputs.as_pgn(inputs.with_movetext(ordered)).select("file", "pgn")
+    parts = stored(records.mapInArrow(compress, "file string, part string"), "parts")
+    by_file = parts.repartition("file").sortWithinPartitions("file", "part")
+    by_file.mapInArrow(string, "file string").write.format("noop").mode("overwrite").save()
     return folder
 
 
