@@ -194,8 +194,13 @@ def resume_batches(spark, sf):
     return resume_export(spark, path).select(*BATCH_PLACE)
 
 
+def encoded_rows(spark, sf) -> DataFrame:
+    """Rows with their features as a stored table, as training has them: a job that plans windows reads the names of the files alone."""
+    return stored(inputs.rows(spark, sf, features=True), "rows")
+
+
 def all_training_batches(spark, sf):
-    got = training_batches(inputs.rows(spark, sf, features=True), EPOCHS, BATCH, WINDOW, SHARDS)
+    got = training_batches(encoded_rows(spark, sf), EPOCHS, BATCH, WINDOW, SHARDS)
     return as_text(got).withColumn("label", F.round(F.col("label").cast("double"), 5))
 
 
@@ -252,7 +257,7 @@ def evaluated_sample(spark, sf):
 
 def exported_by_budget(spark, sf):
     """Two epochs but for 300 boards, written and read back: the rows and files of each batch."""
-    rows, path = inputs.rows(spark, sf, features=True), scratch(spark, "batches")
+    rows, path = encoded_rows(spark, sf), scratch(spark, "batches")
     batches, _ = budgeted_batches(rows, 2 * rows.count() - 300, BATCH, WINDOW, SHARDS)
     write_batches(batches, path)
     return spark.read.parquet(path).groupBy("shard", "window_index", "batch_index").agg(

@@ -25,8 +25,12 @@ BATCH_COLUMNS = ["shard", "window_index", "batch_index", "rn", "features", "labe
 def stored_windows(
     rows: DataFrame, epochs: int, window_rows: int = WINDOW_ROWS, shards: int = LOADER_SHARDS, seed: int = TRAIN_SEED
 ) -> DataFrame:
-    """The window plan, stored before rows meet it: it is small, and its size decides how Spark joins it."""
-    return stored(plan_windows(epoch_plan(file_table(rows), epochs, shards, seed), window_rows), "windows")
+    """The window plan, stored before rows meet it: it is small, and its size decides how Spark joins it.
+
+    The file table is stored as well, since the plan reads it several times and it costs a pass over all rows.
+    """
+    files = stored(file_table(rows), "files")
+    return stored(plan_windows(epoch_plan(files, epochs, shards, seed), window_rows), "windows")
 
 
 def training_batches(

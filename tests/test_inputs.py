@@ -52,3 +52,30 @@ def test_placements_come_with_the_replay(spark, orders):
     moves = parse_movetext(inputs.games(spark, orders), comments=False).select("game_id", "moves")
     plies = replay_moves(moves, placement=True).select(F.inline("plies"))
     assert plies.where(F.col("placement") != board_to_placement(F.col("board"))).isEmpty() and not plies.isEmpty()
+
+
+@pytest.fixture
+def events(tmp_path):
+    keys = list(range(2000))
+    pq.write_table(pa.table({
+        "event_id": pa.array(keys, pa.int64()), "user_id": pa.array([k % 7 for k in keys], pa.int64()),
+        "event_type": ["abc"[k % 3] for k in keys], "value": [k / 20 for k in keys]}), tmp_path / "events.parquet")
+    return str(tmp_path)
+
+
+@pytest.mark.parametrize("query", ["training_batches", "export_by_budget"])
+def test_boards_are_encoded_once(spark, events, monkeypatch, query):
+    made, plain = spark.sparkContext.accumulator(0), inputs.rows
+
+    def seen(batches):
+        for batch in batches:
+            made.add(batch.num_rows)
+            yield batch
+
+    def counted(*args, **options):
+        rows = plain(*args, **options)
+        return rows.mapInArrow(seen, rows.schema)
+
+    monkeypatch.setattr(inputs, "rows", counted)
+    assert catalog.QUERIES[query](spark, events).collect()
+    assert made.value == 2000
