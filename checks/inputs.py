@@ -5,6 +5,9 @@ boards   one board per event, from a hash; not legal, which encoding does not ne
 rows     the boards' evaluations as rows of data files of 512
 """
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -40,17 +43,13 @@ def comments() -> tuple[list[str], int, int, int]:
     return [*texts, "{ [%clk 0:03:00] }"], len(texts), len(scores), len(scores) + len(mates)
 
 
-def comment(k: Column, p: Column) -> Column:
-    """Comment of half-move `p`: an evaluation in pawns, now and then far too large, a mate distance, or only a clock."""
-    texts, clock, mates, large = comments()
-    # A look-up costs less than putting a text together for every half-move.
-    odd = F.when(k % 2 == 1, 1).otherwise(0)
-    return F.when(k.isNotNull(), F.element_at(F.array(*[F.lit(t) for t in texts]), (
-        F.when((k + p * 3) % 13 == 0, clock)
-        .when((k + p) % 23 == 0, odd * 5 + p % 5 + mates)
-        .when((k + p) % 101 == 0, odd + large)
-        .otherwise((k * 31 + p * 17) % 1999 + 1998)
-    ).cast("int") + 1))
+def comment_places(k: np.ndarray, p: int, clock: int, mates: int, large: int) -> np.ndarray:
+    """Places in `comments()`, which gives the last three numbers, of the comments of half-move `p`: an evaluation in pawns, now and then far
+    too large, a mate distance, or only a clock. Remainders have the sign of the key, as in SQL."""
+    odd = np.fmod(k, 2) == 1
+    return np.select(
+        [np.fmod(k + p * 3, 13) == 0, np.fmod(k + p, 23) == 0, np.fmod(k + p, 101) == 0],
+        [clock, odd * 5 + p % 5 + mates, odd + large], np.fmod(k * 31 + p * 17, 1999) + 1998)
 
 
 def half_moves(broken: bool) -> list[list[str]]:
@@ -79,21 +78,54 @@ def tagged_games(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def with_movetext(tagged: DataFrame, broken: bool = False) -> DataFrame:
-    """Games with their movetext. `broken` writes nonsense for the fifth half-move of every 37th game."""
-    k = F.col("game_ord")
-
-    def of_template(*values: list) -> Column:
-        """The game's template out of the whole ones, or out of the broken ones."""
-        at = (k % len(GAMES) + 1).cast("int")
-        whole, other = (F.element_at(F.array(*[F.array(*map(F.lit, v)) if isinstance(v, list) else F.lit(v) for v in each]), at) for each in values)
-        return F.when(k % 37 == 0, other).otherwise(whole) if broken else whole
+def movetext_writer(broken: bool):
+    """A function that writes the movetext of games of the given keys and results, a batch at a time.
 
+    Games of a template are put together half-move by half-move, all at once, from the template's text and looked-up comments.
+    """
     plain, other = half_moves(False), half_moves(True)
-    annotated = F.array_join(F.transform(
-        of_template(plain, other), lambda text, i: F.concat_ws(" ", text, comment(k, i + 1))), " ")
-    bare = of_template(*([" ".join(g) for g in each] for each in (plain, other)))
-    return evaluated_once(tagged, {"movetext": F.concat_ws(" ", F.when(k % 11 == 0, bare).otherwise(annotated), "result")})
+    every, *begins = comments()
+    texts = pa.array(every)
+
+    def of_template(game: list[str], k: np.ndarray) -> pa.Array:
+        parts = []
+        for p, text in enumerate(game, 1):
+            parts += [pa.scalar(text), texts.take(pa.array(comment_places(k, p, *begins)))]
+        return pc.binary_join_element_wise(*parts, " ")
+
+    @F.arrow_udf("string")
+    def movetext(key: pa.Array, result: pa.Array) -> pa.Array:
+        known = np.flatnonzero(np.asarray(key.is_valid()))
+        k = key.drop_null().to_numpy()
+        if len(k) and np.abs(k.astype(np.float64)).max() >= 2.0**58:
+            raise OverflowError("a key is too large to draw comments from")
+        at = np.fmod(k, len(GAMES)) + 1
+        if (at == 0).any():
+            raise ValueError("a key has no template")
+        at = np.where(at > 0, at - 1, at + len(GAMES))
+        wrong, bare = (np.fmod(k, 37) == 0) & broken, np.fmod(k, 11) == 0
+        found, places = [], []
+        for template, games in enumerate(zip(plain, other, strict=True)):
+            for game, chosen in zip(games, (~wrong, wrong), strict=True):
+                for rows in (np.flatnonzero((at == template) & chosen & b) for b in (~bare, bare)):
+                    if len(rows):
+                        found.append(pa.array([" ".join(game)] * len(rows)) if bare[rows[0]] else of_template(game, k[rows]))
+                        places.append(rows)
+        moves = pa.array([], pa.string())
+        if found:
+            moves = pa.concat_arrays(found).take(pa.array(np.argsort(np.concatenate(places))))
+        place = np.zeros(len(key), np.int64)
+        place[known] = np.arange(len(known))
+        # A game without a key has no half-moves, only its result.
+        moves = moves.take(pa.array(place, mask=~np.asarray(key.is_valid())))
+        return pc.coalesce(pc.binary_join_element_wise(moves, result, " "), moves, result, pa.scalar(""))
+
+    return movetext
+
+
+def with_movetext(tagged: DataFrame, broken: bool = False) -> DataFrame:
+    """Games with their movetext. `broken` writes nonsense for the fifth half-move of every 37th game."""
+    return evaluated_once(tagged, {"movetext": movetext_writer(broken)("game_ord", "result")})
 
 
 def games(spark: SparkSession, sf_dir: str, broken: bool = False) -> DataFrame:

@@ -1,5 +1,7 @@
 """The inputs derived for the queries: their tasks grow in number, not in size."""
 
+import math
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.parquet as pq
@@ -79,3 +81,32 @@ def test_boards_are_encoded_once(spark, events, monkeypatch, query):
     monkeypatch.setattr(inputs, "rows", counted)
     assert catalog.QUERIES[query](spark, events).collect()
     assert made.value == 2000
+
+
+def slow_movetext(k, result, broken):
+    """Half-move by half-move, with remainders that have the sign of the key."""
+    parts = []
+    if k is not None:
+        game = inputs.GAMES[int(math.fmod(k, 5) + 1) - 1 if math.fmod(k, 5) > -1 else int(math.fmod(k, 5)) + 1].split(" ")
+        if broken and k % 37 == 0:
+            game[4] = "Zz9"
+        texts, clock, mates, large = inputs.comments()
+        for p, san in enumerate(game, 1):
+            parts.append(f"{(p + 1) // 2}. {san}" if p % 2 else san)
+            if k % 11:
+                odd = int(math.fmod(k, 2) == 1)
+                at = clock if (k + p * 3) % 13 == 0 else odd * 5 + p % 5 + mates if (k + p) % 23 == 0 else \
+                    odd + large if (k + p) % 101 == 0 else int(math.fmod(k * 31 + p * 17, 1999)) + 1998
+                parts.append(texts[at])
+    return " ".join([*parts, *([] if result is None else [result])])
+
+
+@pytest.mark.parametrize("broken", [False, True])
+def test_movetexts_are_put_together_in_bulk(spark, broken):
+    keys = [None, 0, 5, 5, 11, 23, 37, 55, 101, 407, 10**12 + 3, -2, -3, -4, -5, -7, -37, -55, -407, None]
+    table = [(k, r) for k in keys for r in ("1-0", "*", None)]
+    got = inputs.with_movetext(spark.createDataFrame(table, "game_ord long, result string"), broken)
+    assert sorted(map(tuple, got.collect()), key=repr) == sorted(((k, r, slow_movetext(k, r, broken)) for k, r in table), key=repr)
+    assert inputs.with_movetext(spark.createDataFrame([], "game_ord long, result string"), broken).isEmpty()
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "transform(" not in plan and "lambda" not in plan
